@@ -73,7 +73,7 @@ def parse_number(stripped: Column) -> Column:
 
 def _whole_number(stripped: Column, number: Column) -> Column:
     """A double as bigint; beyond 2**53, where doubles skip integers, the text is read instead."""
-    return F.when(F.abs(number) <= EXACT_INTEGERS, number.cast("bigint")).otherwise(
+    return F.when(F.abs(number) < EXACT_INTEGERS, number.cast("bigint")).otherwise(
         F.when(number.isNotNull(), stripped.try_cast("bigint"))
     )
 
@@ -156,6 +156,13 @@ def percent_of_count(part: Column, whole: Column, scale: int = 2) -> Column:
     return F.round(hundredfold / _unless_zero(whole.cast("decimal(20,0)")), scale)
 
 
+def rate_of_count(part: Column, whole: Column) -> Column:
+    """``part * 100 / whole`` of two counts to 2 places, rounded half even; 0 when ``whole`` is 0."""
+    hundredfold = (part * F.lit(100)).cast("decimal(20,0)")
+    rate = F.bround(hundredfold / _unless_zero(whole.cast("decimal(20,0)")), 2)
+    return F.coalesce(rate.cast("double"), F.lit(0.0))
+
+
 def percent_of_money(part: Column, whole: Column, scale: int = 2) -> Column:
     """``part * 100 / whole`` of two decimal totals, rounded half up once."""
     hundredfold = (part * F.lit(100)).cast("decimal(25,2)")

@@ -14,6 +14,7 @@ from vaultline.functions import columns as C
 from vaultline.operators import rules as R
 from vaultline.operators.keys import ROW_ID, KeySet, find_duplicates, mark_members
 from vaultline.operators.tables import ROUNDED, Field, Table
+from vaultline.sources.scratch import keep
 
 AUDIT_COLUMNS = ("rejection_reason", "validation_stage", "pipeline_name", "processed_at")
 IS_BAD = "is_bad"
@@ -222,8 +223,12 @@ def split(rows: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:
 def validate(
     raw: DataFrame, table: Table, parents: dict[str, KeySet] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Curated rows and quarantine rows of one raw table."""
-    return split(validated(raw, table, parents or {}), table)
+    """Curated rows and quarantine rows of one raw table.
+
+    The verdicts are computed once and kept partitioned by ``is_bad``; each result then reads
+    its own files. Filtering the lazy plan twice would evaluate every rule four times.
+    """
+    return split(keep(validated(raw, table, parents or {}), "validated", IS_BAD), table)
 
 
 def quarantine_schema(table: Table) -> T.StructType:

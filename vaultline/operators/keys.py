@@ -83,7 +83,10 @@ def _mark_by_shuffle(frame: DataFrame, column: str, members: DataFrame, flag: st
     hot_members = members.where(F.col("_member").isin(hot)).select(
         F.col("_member").alias("_hot"), F.col("_is_member").alias("_is_hot_member")
     )
-    cold_members = members.where(~F.col("_member").isin(hot)).withColumn("_member_salt", F.lit(0))
+    # Always 0, but not a literal: the optimizer would turn the join on a literal salt into a
+    # filter, and all rows without a probe key would meet in one partition.
+    zero = F.pmod(F.hash("_member"), F.lit(1))
+    cold_members = members.where(~F.col("_member").isin(hot)).withColumn("_member_salt", zero)
 
     spread = F.col(column).isNull() | F.col(column).isin(hot)
     salted = (

@@ -11,11 +11,9 @@ from pyspark.sql import functions as F
 from vaultline.operators import curation
 from vaultline.operators.keys import KeySet, unique_key_set
 from vaultline.operators.tables import TABLES, Table
+from vaultline.sources.scratch import write_partitioned
 from vaultline.sources.summary import RunSummary
 
-# Good and bad files are written side by side, so rows need not be sorted by ``is_bad`` first.
-CONCURRENT_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
-
 
 class Store:
     """Curated and quarantined tables below one root folder."""
@@ -42,12 +40,7 @@ class Store:
 
     def write(self, table: Table, rows: DataFrame) -> tuple[int, int]:
         """Store validated rows; return how many are good and how many bad, from the file footers."""
-        before = self.spark.conf.get(CONCURRENT_WRITERS)
-        self.spark.conf.set(CONCURRENT_WRITERS, "4")
-        try:
-            rows.write.partitionBy(curation.IS_BAD).mode("overwrite").parquet(self.path(table.name))
-        finally:
-            self.spark.conf.set(CONCURRENT_WRITERS, before)
+        write_partitioned(rows, self.path(table.name), curation.IS_BAD)
         counts = dict(self.rows(table.name).groupBy(curation.IS_BAD).count().collect())
         return counts.get(False, 0), counts.get(True, 0)
 

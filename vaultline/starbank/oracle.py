@@ -440,6 +440,19 @@ def pct(part: str, whole: str, scale: int = 2) -> str:
     return ratio(f"({part}) * 100", whole, scale)
 
 
+def half_even_pct(part: str, whole: str) -> str:
+    """``part * 100 / whole`` to 2 places, rounded half even in integer arithmetic."""
+    scaled = f"CAST({part} AS HUGEINT) * 10000"
+    quotient, rest = f"(({scaled}) // {whole})", f"(({scaled}) % {whole})"
+    up = f"CASE WHEN 2 * {rest} > {whole} OR (2 * {rest} = {whole} AND {quotient} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"CAST({quotient} + {up} AS DOUBLE) / 100.0"
+
+
+def printed_pct(part: str, whole: str) -> str:
+    """The same from floating point numbers, rounded as they print."""
+    return f"CAST(format('{{:.2f}}', CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE) * 100) AS DOUBLE)"
+
+
 def dbl(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
@@ -685,8 +698,8 @@ def _counts(pairs) -> str:
     return " UNION ALL ".join(f"SELECT '{label}' AS table_name, count(*) AS row_count FROM {t}" for label, t in pairs)
 
 
-def _rates(good: str, bad: str, total: str) -> str:
-    return f"{pct(good, total)} AS success_rate_pct, {pct(bad, total)} AS failure_rate_pct"
+def _rates(good: str, bad: str, total: str, rate=printed_pct) -> str:
+    return f"{rate(good, total)} AS success_rate_pct, {rate(bad, total)} AS failure_rate_pct"
 
 
 def _summary(names) -> str:
@@ -764,11 +777,11 @@ def _reports() -> dict[str, str]:
         "e9_duplicate_keys": duplicates,
         "e11_run_totals": "SELECT " + ", ".join(
             f"{big(f'sum({c})')} AS {c}" for c in ("total_records", "curated_records", "bad_records")
-        ) + f", {_rates('sum(curated_records)', 'sum(bad_records)', 'sum(total_records)')} FROM verdicts",
+        ) + f", {_rates('sum(curated_records)', 'sum(bad_records)', 'sum(total_records)', half_even_pct)} FROM verdicts",
         "h1_all_quarantine": "SELECT table_name, validation_stage, count(*) AS n FROM rejected GROUP BY ALL",
         "p1_quality_report": f"""SELECT v.table_name, {big('total_records')} AS total_records,
             {big('curated_records')} AS curated_records, {big('bad_records')} AS bad_records,
-            {pct('curated_records', 'total_records')} AS pass_rate_pct, {first.format(c='stage')} AS main_stage,
+            {half_even_pct('curated_records', 'total_records')} AS pass_rate_pct, {first.format(c='stage')} AS main_stage,
             {first.format(c='rule')} AS top_rule
             FROM (SELECT * FROM verdicts UNION ALL SELECT 'TOTAL', sum(total_records), sum(curated_records),
                   sum(bad_records) FROM verdicts) v""",

@@ -299,20 +299,19 @@ def flagged_events(spark: SparkSession, folder: str) -> DataFrame:
     return E.flag_events(_as_events(base_table(spark, folder, "events")), HIGH_VALUE).select(*FLAG_COLUMNS)
 
 
-def _routed(spark: SparkSession, folder: str) -> str:
-    path = new_folder(spark, "routed")
-    E.route_events(
-        E.flag_events(_event_stream(spark, folder), HIGH_VALUE), path, new_folder(spark, "stream")
-    ).awaitTermination()
-    return path
+def _routed(spark: SparkSession, folder: str) -> DataFrame:
+    """The event stream, flagged and routed to its sink, then read back."""
+    path, flagged = new_folder(spark, "routed"), E.flag_events(_event_stream(spark, folder), HIGH_VALUE)
+    E.route_events(flagged, path, new_folder(spark, "stream")).awaitTermination()
+    return E.read_routes(spark, path, flagged.schema)
 
 
 def routed_events(spark: SparkSession, folder: str) -> DataFrame:
-    return E.read_route(spark, _routed(spark, folder), flagged=True).select(*FLAG_COLUMNS)
+    return _routed(spark, folder).where("is_flagged").select(*FLAG_COLUMNS)
 
 
 def routed_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return E.stream_summary(spark.read.parquet(_routed(spark, folder)))
+    return E.stream_summary(_routed(spark, folder))
 
 
 def _windows(operator: Callable[[DataFrame], DataFrame], keys: list[str]):

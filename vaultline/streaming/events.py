@@ -70,9 +70,9 @@ def route_events(flagged: DataFrame, path: str, checkpoint: str):
     )
 
 
-def read_route(spark: SparkSession, path: str, flagged: bool) -> DataFrame:
-    frame = spark.read.parquet(path)
-    return frame.where(F.col("is_flagged") if flagged else ~F.col("is_flagged"))
+def read_routes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Both routes; a filter on ``is_flagged`` reads the files of one route only."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def _windowed(events: DataFrame, keys: tuple[str, ...], length: str, slide: str | None, late: str) -> DataFrame:
