@@ -33,6 +33,27 @@ VIOLATIONS_TYPE = T.ArrayType(
 )
 
 
+# A core receives at most this much when a small table is spread.
+SPREAD_BYTES_PER_CORE = 64 * 1024 * 1024
+
+
+def spread(raw: DataFrame) -> DataFrame:
+    """Deal a table of few, small files out to all cores; any other table is left as it is.
+
+    A file may be a single unit of reading however many rows it has, and rules cost far more than
+    reading. The shuffle is bounded by a checked size. Row ids are taken before it, at the
+    scan, where a task that runs again gives the same ids.
+    """
+    spark = raw.sparkSession
+    cores, paths = spark.sparkContext.defaultParallelism, raw.inputFiles()
+    if not 0 < len(paths) < cores:
+        return raw
+    size = spark.read.format("binaryFile").load(paths).agg(F.sum("length")).first()[0] or 0
+    if size > cores * SPREAD_BYTES_PER_CORE:
+        return raw
+    return raw.withColumn(ROW_ID, F.monotonically_increasing_id()).repartition(cores)
+
+
 def parsed(raw: DataFrame, table: Table) -> DataFrame:
     """Raw text columns plus their stripped, numeric, key and time readings."""
     needed = {table.key, *(c for rule in table.rules for c in rule.columns)}
@@ -45,7 +66,7 @@ def parsed(raw: DataFrame, table: Table) -> DataFrame:
             (F.col(f.name).cast("string") if f.name in present else F.lit(None).cast("string")).alias(f"raw_{f.name}")
             for f in table.fields
         ],
-        F.monotonically_increasing_id().alias(ROW_ID),
+        (F.col(ROW_ID) if ROW_ID in present else F.monotonically_increasing_id()).alias(ROW_ID),
     )
     frame = frame.withColumns({f"text_{f.name}": C.strip(F.col(f"raw_{f.name}")) for f in table.fields})
     frame = frame.withColumns(
@@ -128,7 +149,7 @@ def _broken_name(position: int) -> str:
 
 def judged(raw: DataFrame, table: Table, parents: dict[str, KeySet]) -> DataFrame:
     """Parsed rows with one boolean column per rule and ``is_bad``, their disjunction."""
-    frame = probe_keys(parsed(raw, table), table, parents)
+    frame = probe_keys(parsed(spread(raw), table), table, parents)
     frame = frame.withColumns({_broken_name(i): rule.broken_column() for i, rule in enumerate(table.rules)})
     return frame.withColumn(IS_BAD, reduce(or_, [F.col(_broken_name(i)) for i in range(len(table.rules))]))
 
