@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ def spread(raw: DataFrame) -> DataFrame:
     scan, where a task that runs again gives the same ids.
     """
     spark = raw.sparkSession
-    cores, paths = spark.sparkContext.defaultParallelism, raw.inputFiles()
+    cores, paths = spark.sparkContext.defaultParallelism, [unquote(path) for path in raw.inputFiles()]
     if not 0 < len(paths) < cores:
         return raw
     size = spark.read.format("binaryFile").load(paths).agg(F.sum("length")).first()[0] or 0
