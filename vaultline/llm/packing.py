@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultline.llm.common import slices, texts
-from vaultline.llm.units import Encoder, spaced_units
+from vaultline.llm.units import Encoder, spaced_cut, spaced_units
 from vaultline.sources.scratch import keep
 
 WINDOW = 2048
@@ -50,8 +50,15 @@ def tokenize(documents: DataFrame, tokenizer: str, window: int = WINDOW, end: in
 
         backend = Tokenizer.from_file(tokenizer)
         backend.encode_special_tokens = True
+        begins = np.zeros(max(backend.get_vocab().values()) + 1, dtype=bool)
+        for piece, at in backend.get_vocab().items():
+            begins[at] = piece.startswith("Ġ")  # how the vocabulary writes a space
         encoder = Encoder(
-            lambda units: [x.ids for x in backend.encode_batch_fast(units, add_special_tokens=False)], spaced_units
+            lambda units: [x.ids for x in backend.encode_batch_fast(units, add_special_tokens=False)],
+            spaced_units,
+            spaced_cut,
+            " ",
+            begins,
         )
         last = np.array([end], dtype="<u4").tobytes()
         for batch, held in slices(batches):
