@@ -7,8 +7,8 @@ document's probability is the product of its words' and of the end's, exactly as
 ran over the whole text.
 
 The pieces are those of an existing vocabulary. Its file gives merge ranks for scores; they are
-taken as log-probabilities by Zipf's law, and one round of expected counts over all training words
-(forward and backward) fits them to the corpus.
+taken as log-probabilities by Zipf's law, and ``ROUNDS`` rounds of expected counts over all training
+words (forward and backward) fit them to the corpus.
 
 Words are counted over the whole corpus. Every distinct word runs through the recursion once.
 Frequent words, a table of bounded size, go to the tasks that read texts; the rest of a
@@ -37,6 +37,7 @@ FREQUENT_WORDS = 200_000
 LONGEST_FREQUENT = 48
 #: The weight of the vocabulary's own scores against the corpus, in pieces.
 PRIOR_WEIGHT = 1_000.0
+ROUNDS = 2
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -195,14 +196,15 @@ def word_counts(documents: DataFrame, trained: str) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("others").alias("others"))
 
 
-def fit(words: DataFrame, pieces: list[str], ends: int) -> Lattice:
-    """The lattice after one round of expected counts over all training words."""
-    first = Lattice(pieces)
+def _expectation(words: DataFrame, lattice: Lattice) -> np.ndarray:
+    """Expected uses of each piece over all training words."""
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(first.pieces))
+        total = np.zeros(len(lattice.pieces))
         for batch in batches:
-            total += first.expected(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float))
+            for at in range(0, batch.num_rows, 20_000):
+                part = batch.slice(at, 20_000)
+                total += lattice.expected(part.column(0).to_pylist(), part.column(1).to_numpy().astype(float))
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["piece", "uses"])
 
@@ -214,12 +216,20 @@ def fit(words: DataFrame, pieces: list[str], ends: int) -> Lattice:
         .agg(F.sum("uses").alias("uses"))
         .collect()  # a row for each piece of the vocabulary at most
     )
-    uses = np.zeros(len(first.pieces) + 1)
+    uses = np.zeros(len(lattice.pieces))
     for row in rows:
         uses[row.piece] = row.uses
-    uses[-1] = ends
-    uses += PRIOR_WEIGHT * np.exp(first.scores)
-    return Lattice(pieces, np.log(uses / uses.sum()))
+    return uses
+
+
+def fit(words: DataFrame, pieces: list[str], ends: int, rounds: int = ROUNDS) -> Lattice:
+    """The lattice after ``rounds`` of expected counts over all training words, each an update of all pieces."""
+    prior = Lattice(pieces)
+    lattice = prior
+    for _ in range(rounds):
+        uses = np.append(_expectation(words, lattice), ends) + PRIOR_WEIGHT * np.exp(prior.scores)
+        lattice = Lattice(pieces, np.log(uses / uses.sum()))
+    return lattice
 
 
 def _frequent_from(words: DataFrame, most: int) -> int:
