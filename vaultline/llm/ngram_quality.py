@@ -84,9 +84,9 @@ def _sparse(held: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for at, (buckets, place) in enumerate(families(part)):
             keys, times = np.unique((place << BITS) + buckets, return_counts=True)
             row = keys >> BITS
-            rows.append(row + start)
-            columns.append((at << BITS) + (keys & ((1 << BITS) - 1)))
-            values.append(times * _SCALE / np.bincount(place, minlength=64)[row])
+            rows.append((row + start).astype(np.int32))
+            columns.append(((at << BITS) + (keys & ((1 << BITS) - 1))).astype(np.int32))
+            values.append((times * _SCALE / np.bincount(place, minlength=64)[row]).astype(np.float32))
     return np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
 
 
