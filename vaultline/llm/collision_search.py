@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 
 from vaultline.sources.scratch import keep
 
-LINES = 40
+LINES = 24
 #: Half the width of a window is the radius times this.
 HALF_WIDTH = 1.0
 #: The share of windows that a vector must lie in to be verified.
-THRESHOLD = 0.5
-FIRST_RADIUS, WIDEN = 0.6, 1.2
-BLOCK_ROWS, PART_ROWS = 8_192, 1_024
+THRESHOLD = 0.58
+FIRST_RADIUS, WIDEN = 0.9, 1.15
+BLOCK_ROWS, PART_ROWS = 16_384, 1_024
 SEED = 7
 
 
@@ -45,6 +45,15 @@ def _usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return rows.where(F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0))
 
 
+def _best(rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best and all that could tie with them but for rounding."""
+    if len(scores) <= k:
+        return rows, scores
+    least = np.partition(scores, len(scores) - k)[len(scores) - k]
+    kept = scores >= least - 1e-9 * (1 + abs(least))
+    return rows[kept], scores[kept]
+
+
 def _search(queries: np.ndarray, block: np.ndarray, k: int, greatest: float, skip: np.ndarray) -> Iterator[tuple]:
     """For each query the verified vectors among which its k nearest of the block are: rows and scores."""
     size = block.shape[1]
@@ -85,18 +94,17 @@ def _search(queries: np.ndarray, block: np.ndarray, k: int, greatest: float, ski
             new = np.flatnonzero((counts >= least) & ~seen)
             if len(new):
                 seen[new] = True
-                rows = np.concatenate([rows, new])
-                scores = np.concatenate([scores, (block[new] * query).sum(axis=1)])
+                rows, scores = _best(np.concatenate([rows, new]), np.concatenate([scores, block[new] @ query]), k)
             if len(scores) >= k:
-                best = np.partition(scores, len(scores) - k)[len(scores) - k]
+                best = scores.min()
                 if 2 - 2 * best / (greatest * norms[q]) <= radius * radius:
                     break
         else:  # the widest windows: whatever is left is verified, so that few vectors give all of them
             if len(scores) < k:
                 new = np.flatnonzero(~seen)
                 rows = np.concatenate([rows, new])
-                scores = np.concatenate([scores, (block[new] * query).sum(axis=1)])
-        yield rows, scores
+        # summed row by row: equal vectors get equal scores wherever they stand
+        yield rows, (block[rows] * query).sum(axis=1)
 
 
 def nearest(
