@@ -95,12 +95,19 @@ def platt(scores: np.ndarray, wanted: np.ndarray) -> tuple[float, float]:
     good, bad = wanted.sum(), (1 - wanted).sum()
     target = np.where(wanted > 0, (good + 1) / (good + 2), 1 / (bad + 2))
     x = np.stack([scores, np.ones_like(scores)], axis=1)
-    line = np.array([1.0, 0.0])
+    start = np.array([1.0, 0.0])
+    loss = lambda at: (np.logaddexp(0, x @ at) - target * (x @ at)).sum() + 5e-4 * ((at - start) ** 2).sum()
+    line = start
     for _ in range(50):
         p = _logistic(x @ line)
-        slope = x.T @ (target - p) - 1e-3 * (line - [1.0, 0.0])
+        slope = x.T @ (target - p) - 1e-3 * (line - start)
         curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        line = line + np.linalg.solve(curve, slope)
+        step = np.linalg.solve(curve, slope)
+        while loss(line + step) > loss(line) and np.abs(step).max() > 1e-9:  # a whole step may overshoot
+            step = step / 2
+        line = line + step
+        if np.abs(step).max() < 1e-9:
+            break
     return float(line[0]), float(line[1])
 
 
