@@ -92,6 +92,10 @@ def _turn(role: Column, text: Column) -> Column:
     return F.struct(_roles(role).cast("string").alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
 
 
+def _each(elements: Column, layout: Layout) -> Column:
+    return F.transform(elements, lambda x: _turn(x[layout.role], x[layout.text]))
+
+
 def _layout(kind: T.StructType, key: str, layouts: tuple[Layout, ...]) -> Layout:
     """The layout whose paths all occur; the longest if several do, and an exact fingerprint before all."""
     paths = [p for p in field_paths(kind) if p != key]
@@ -118,7 +122,7 @@ def canonical_turns(records: DataFrame, key: str = "conv_id", layouts: tuple[Lay
             key, "turn", "one.role", "one.text"
         )
     if layout.each:
-        turns = F.transform(F.col(layout.each), lambda x: _turn(x[layout.role], x[layout.text]))
+        turns = _each(F.col(layout.each), layout)
     else:
         turns = F.array_compact(
             F.array(
@@ -182,7 +186,7 @@ def canonical_json(
         if layout.each:
             shape = f"struct<{layout.each}:array<struct<`{layout.role}`:string,`{layout.text}`:string>>>"
             parsed = F.from_json(F.col(record), shape)
-            turns = F.transform(parsed[layout.each], lambda x, y=layout: _turn(x[y.role], x[y.text]))
+            turns = _each(parsed[layout.each], layout)
         else:
             parsed = F.from_json(F.col(record), "struct<" + ",".join(f"`{p}`:string" for p in layout.paths) + ">")
             turns = F.array_compact(

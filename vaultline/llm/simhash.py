@@ -152,7 +152,8 @@ def first_of_groups(documents: DataFrame) -> DataFrame:
     are kept as they are.
     """
     place = "__place"
-    placed = documents.withColumn(place, F.monotonically_increasing_id())
+    # written, so that a place means the same row in both reads, whatever the frame is made of
+    placed = keep(documents.withColumn(place, F.monotonically_increasing_id()), "placed")
     found = near_duplicates(placed, F.col(place))
     # A group whose ids are all missing is known by its fingerprints' smallest place alone.
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("print "), F.col("fingerprint").cast("string")))
