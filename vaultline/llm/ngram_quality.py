@@ -27,7 +27,7 @@ CALIBRATE = 4
 BITS = 15
 CHARACTERS = 4
 #: Kept from this calibrated probability of good quality on.
-KEEP_FROM = 0.5
+KEEP_FROM = 0.2
 #: Fixed thresholds of the plain rules.
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = b"#*$%&|<>"
