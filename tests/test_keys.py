@@ -67,3 +67,16 @@ def test_small_parents_are_broadcast_and_rows_not_shuffled(spark):
 
     plan = curation.validated(raw, table, parents_of(spark, "transactions"))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "Cartesian" not in plan
+
+
+def test_large_parents_send_orphans_to_rows(spark, setting):
+    frame = facts(spark, [(i, i % 50) for i in range(2000)] + [(5000, None)])
+    parent = key_set(spark, *range(45))
+    setting(K.MAX_BROADCAST_KEYS_SETTING, "10")
+    marked = K.mark_orphans(frame, "fk", parent, "orphan")
+    assert {r["id"] for r in marked.where("orphan").collect()} == {i for i in range(2000) if i % 50 >= 45} | {5000}
+    assert "Exchange hashpartitioning" not in marked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_textual_keys_are_not_broadcast(spark):
+    assert not K.KeySet(spark.range(3), 3, K.MAX_BROADCAST_TEXT + 1).fits()

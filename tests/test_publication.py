@@ -76,3 +76,21 @@ def test_latest_row_per_key(spark):
     changes = spark.createDataFrame([(1, "new", 2, 1), (1, "newest", 2, 2), (2, "late", 3, 1), (3, "added", 1, 1)], schema)
     got = {r["k"]: r["v"] for r in latest_per_key(current, changes, "k", ["at", "n"]).collect()}
     assert got == {1: "newest", 2: "kept", 3: "added"}
+
+
+def test_overlapping_publishers_and_all_findings(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "shared")
+    first = publication.publish(spark, root, tables(spark))
+    real = publication.findings
+    second = []
+
+    def overtaken(frames):
+        if not second:
+            second.append(None)
+            second[0] = publication.publish(spark, root, tables(spark))
+        return real(frames)
+
+    monkeypatch.setattr(publication, "findings", overtaken)
+    with pytest.raises(publication.PublicationRefused, match=first):
+        publication.publish(spark, root, tables(spark))
+    assert publication.current_version(spark, root) == second[0]

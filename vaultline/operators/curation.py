@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 
 from vaultline.functions import columns as C
 from vaultline.operators import rules as R
-from vaultline.operators.keys import ROW_ID, KeySet, find_duplicates, mark_members
+from vaultline.operators.keys import ROW_ID, KeySet, find_duplicates, mark_members, mark_orphans
 from vaultline.operators.tables import ROUNDED, Field, Table
 from vaultline.sources.scratch import keep
 
@@ -34,27 +33,6 @@ VIOLATIONS_TYPE = T.ArrayType(
 )
 
 
-# A core receives at most this much when a small table is spread.
-SPREAD_BYTES_PER_CORE = 64 * 1024 * 1024
-
-
-def spread(raw: DataFrame) -> DataFrame:
-    """Deal a table of few, small files out to all cores; any other table is left as it is.
-
-    A file may be a single unit of reading however many rows it has, and rules cost far more than
-    reading. The shuffle is bounded by a checked size. Row ids are taken before it, at the
-    scan, where a task that runs again gives the same ids.
-    """
-    spark = raw.sparkSession
-    cores, paths = spark.sparkContext.defaultParallelism, [unquote(path) for path in raw.inputFiles()]
-    if not 0 < len(paths) < cores:
-        return raw
-    size = spark.read.format("binaryFile").load(paths).agg(F.sum("length")).first()[0] or 0
-    if size > cores * SPREAD_BYTES_PER_CORE:
-        return raw
-    return raw.withColumn(ROW_ID, F.monotonically_increasing_id()).repartition(cores)
-
-
 def parsed(raw: DataFrame, table: Table) -> DataFrame:
     """Raw text columns plus their stripped, numeric, key and time readings."""
     needed = {table.key, *(c for rule in table.rules for c in rule.columns)}
@@ -139,8 +117,8 @@ def probe_keys(frame: DataFrame, table: Table, parents: dict[str, KeySet]) -> Da
         F.col("_repeats_number") | (F.col(key).isNull() & F.col("_repeats_text")) | missing,
     ).drop("_repeats_number", "_repeats_text")
     for parent in table.validated_parents:
-        frame = mark_members(frame, f"key_{parent.column}", parents[parent.table], "_known", source)
-        frame = frame.withColumn(R.is_orphan_name(parent.column), ~F.col("_known")).drop("_known")
+        flag = R.is_orphan_name(parent.column)
+        frame = mark_orphans(frame, f"key_{parent.column}", parents[parent.table], flag, source)
     return frame
 
 
@@ -150,7 +128,7 @@ def _broken_name(position: int) -> str:
 
 def judged(raw: DataFrame, table: Table, parents: dict[str, KeySet]) -> DataFrame:
     """Parsed rows with one boolean column per rule and ``is_bad``, their disjunction."""
-    frame = probe_keys(parsed(spread(raw), table), table, parents)
+    frame = probe_keys(parsed(raw, table), table, parents)
     frame = frame.withColumns({_broken_name(i): rule.broken_column() for i, rule in enumerate(table.rules)})
     return frame.withColumn(IS_BAD, reduce(or_, [F.col(_broken_name(i)) for i in range(len(table.rules))]))
 

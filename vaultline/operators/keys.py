@@ -14,22 +14,27 @@ from pyspark.sql import functions as F
 
 from vaultline.sources.scratch import keep
 
-# A broadcast key costs some 40 bytes in memory, so a million keys stay near 40 MB.
+# A broadcast key costs some 40 bytes in memory besides its text, so a million keys stay near 40 MB.
 MAX_BROADCAST_KEYS = 1_000_000
 MAX_BROADCAST_KEYS_SETTING = "spark.vaultline.maxBroadcastKeys"
+# Keys of any length are text; together they may not be larger than this.
+MAX_BROADCAST_TEXT = 64 * 1024 * 1024
 
-# A key is frequent when it fills more than this share of the rows; there are at most 1/share.
-FREQUENT_SHARE = 0.002
 SALTS = 4096
 ROW_ID = "row_id"
 
 
 @dataclass(frozen=True)
 class KeySet:
-    """Distinct non-null keys in column ``key``, and how many there are."""
+    """Distinct non-null keys in column ``key``, how many there are, and the bytes of textual ones."""
 
     frame: DataFrame
     rows: int
+    text_bytes: int = 0
+
+    def fits(self) -> bool:
+        """Whether the set may be broadcast."""
+        return self.rows <= max_broadcast_keys(self.frame.sparkSession) and self.text_bytes <= MAX_BROADCAST_TEXT
 
 
 def max_broadcast_keys(spark: SparkSession) -> int:
@@ -59,25 +64,44 @@ def mark_members(
     if keys.rows == 0:
         return frame.withColumn(flag, F.lit(False))
     members = keys.frame.select(F.col("key").alias("_member"), F.lit(True).alias("_is_member"))
-    if keys.rows <= max_broadcast_keys(frame.sparkSession):
+    if keys.fits():
         joined = frame.join(F.broadcast(members), F.col(column) == F.col("_member"), "left")
         return joined.withColumn(flag, F.coalesce("_is_member", F.lit(False))).drop("_member", "_is_member")
     return _mark_by_shuffle(frame, column, members, flag, frequent_values(source or frame, column))
 
 
+def mark_orphans(
+    frame: DataFrame, column: str, parent: KeySet, flag: str, source: DataFrame | None = None
+) -> DataFrame:
+    """Add ``flag``: whether the value of ``column`` is missing or no key of the parent.
+
+    A parent that fits is broadcast. Beyond that the exceptions are found first, by keys alone:
+    the distinct keys of the child that the parent doesn't have. They are few as a rule, so it is
+    they that are sent to the rows, and rows stay where they are.
+    """
+    if parent.fits() or parent.rows == 0:
+        return mark_members(frame, column, parent, "_known", source).withColumn(flag, ~F.col("_known")).drop("_known")
+    keys = (source or frame).select(F.col(column).alias("key")).where("key IS NOT NULL").distinct()
+    orphans = keep(keys.join(parent.frame, "key", "left_anti"), "orphans")
+    marked = mark_members(frame, column, KeySet(orphans, orphans.count()), "_orphan", source)
+    return marked.withColumn(flag, F.col(column).isNull() | F.col("_orphan")).drop("_orphan")
+
+
 def frequent_values(frame: DataFrame, column: str) -> list:
-    """Every value that fills more than ``FREQUENT_SHARE`` of the rows, in one pass without a shuffle.
+    """Every value with more rows than an even partition of a shuffle would have.
 
-    The list has at most ``1/FREQUENT_SHARE`` values. It may name some that are less frequent,
-    which costs nothing but their salting.
+    Values are counted before they are shuffled. There are fewer such values than partitions.
     """
-    found = frame.select(F.col(column).alias("v")).stat.freqItems(["v"], FREQUENT_SHARE).first()
-    return [value for value in found[0] if value is not None]
+    partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = keep(frame.select(F.col(column).alias("v")).groupBy("v").agg(F.count("*").alias("n")), "counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where(F.col("v").isNotNull() & (F.col("n") * F.lit(partitions) > F.lit(total)))
+    return [row.v for row in hot.select("v").collect()]
 
 
 def _mark_by_shuffle(frame: DataFrame, column: str, members: DataFrame, flag: str, hot: list) -> DataFrame:
-    """Hot keys meet a broadcast of at most ``1/FREQUENT_SHARE`` members; their rows, and rows
-    without a key, are spread evenly by their row id, even if they are copies of one another.
+    """Hot keys meet a broadcast of fewer members than partitions; their rows, and rows without a
+    key, are spread evenly by their row id, even if they are copies of one another.
     The row id comes from the scan, so a task that runs again spreads its rows the same way.
     """
     hot_members = members.where(F.col("_member").isin(hot)).select(
@@ -134,9 +158,10 @@ def find_duplicates(frame: DataFrame, number: str, text: str) -> Duplicates:
         F.count("key").alias("numeric"),
         F.count("key_text").alias("textual"),
         F.count_if(F.col("key").isNull() & F.col("key_text").isNull()).alias("missing"),
+        F.coalesce(F.sum(F.octet_length("key_text")), F.lit(0)).alias("text_bytes"),
     ).first()
     return Duplicates(
         KeySet(found.where("key IS NOT NULL").select("key"), sizes["numeric"]),
-        KeySet(found.where("key_text IS NOT NULL").select(F.col("key_text").alias("key")), sizes["textual"]),
+        KeySet(found.where("key_text IS NOT NULL").select(F.col("key_text").alias("key")), sizes["textual"], sizes["text_bytes"]),
         sizes["missing"] > 0,
     )

@@ -24,14 +24,17 @@ MISSING_TEXTS = (
 )
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A CSV file or folder with a header, every column as text.
 
-    Types are not inferred: a result must not depend on how a file is split. Columns are found by
-    their header name.
+    Types are not inferred: a result must not depend on how a file is split. Files of a folder
+    share one header; reading raises where a file's header differs in names or order, or where a row
+    has more or fewer fields than its header, so nothing is put in a wrong column or dropped.
+    ``multi_line`` reads line breaks inside quotes; such files are not split.
     """
+    options = {"header": True, "escape": '"', "enforceSchema": False, "mode": "FAILFAST", "multiLine": multi_line}
     try:
-        frame = spark.read.option("header", True).option("escape", '"').csv(path)
+        frame = spark.read.options(**options).csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Input file not found at: {path}") from error

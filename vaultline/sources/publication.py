@@ -34,11 +34,16 @@ class PublicationRefused(ValueError):
 def publish(
     spark: SparkSession, root: str, tables: Mapping[str, DataFrame], expected: tuple[str, ...] = tuple(TABLES)
 ) -> str:
-    """Write and audit all tables, then make them current together. Returns the version."""
+    """Write and audit all tables, then make them current together. Returns the version.
+
+    All findings of the audit are reported. A version that another one overtook while it was
+    written is refused: what is current when it is recorded must be what was when it began.
+    """
     absent = [name for name in expected if name not in tables]
     if absent:
         raise FileNotFoundError(f"not published, tables missing: {', '.join(absent)}")
     root = root.rstrip("/")
+    base = current_version(spark, root)
     # Versions sort by the time they were begun; two that begin at once differ in their suffix.
     version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     for name in expected:
@@ -50,10 +55,12 @@ def publish(
     for name in expected:
         if counts[name] == 0 and not tables[name].isEmpty():
             raise PublicationRefused(f"staged {name} has no rows though its source has some")
-    wrong = findings({n: f for n, f in staged.items() if n in TABLES}).orderBy(F.desc("rows"), "subject").limit(20)
+    wrong = findings({n: f for n, f in staged.items() if n in TABLES}).orderBy(F.desc("rows"), "subject")
     problems = [f"{r['audit']} {r['subject']}: {r['rows']} rows" for r in wrong.collect()]
     if problems:
         raise PublicationRefused("not published, " + "; ".join(problems))
+    if current_version(spark, root) != base:
+        raise PublicationRefused(f"not published, another version became current after {base or 'none'}")
     record = spark.createDataFrame([(version, counts)], MANIFEST_SCHEMA)
     record.coalesce(1).write.mode("append").json(f"{root}/manifest")
     return version

@@ -19,7 +19,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="vaultline-")
     spark.sparkContext.setCheckpointDir(folder)
