@@ -18,7 +18,8 @@ WHITESPACE = (
 
 # The text forms a number, and an ISO date with optional time, may take.
 NUMBER_TEXT = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
-DATE_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?$"
+DATE_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+ZONE_TEXT = r"(:[0-9.]+)(Z|[+-]\d{2}:?\d{2})$"
 
 # The span of dates that parse (nanosecond timestamps in 64 bits).
 FIRST_DATE, LAST_DATE = "1677-09-22 00:00:00", "2262-04-11 00:00:00"
@@ -89,8 +90,13 @@ def parse_reference(stripped: Column, number: Column) -> Column:
 
 
 def parse_time(stripped: Column) -> Column:
-    """ISO date or date-time, each row on its own; anything else becomes NULL."""
-    return F.when(stripped.rlike(DATE_TEXT), stripped.try_cast("timestamp_ntz"))
+    """ISO date or date-time, each row on its own; anything else becomes NULL.
+
+    A zone (``Z``, ``+05:30``) is read and dropped: the date is the one that is written.
+    """
+    zoned = stripped.contains(":") & stripped.rlike(ZONE_TEXT)
+    local = F.when(zoned, F.regexp_replace(stripped, ZONE_TEXT, "$1")).otherwise(stripped)
+    return F.when(stripped.rlike(DATE_TEXT), local.try_cast("timestamp_ntz"))
 
 
 def in_time_span(time: Column) -> Column:

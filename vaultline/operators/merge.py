@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 def latest_per_key(current: DataFrame, changes: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The row with the greatest ``order`` values of each key, over both inputs.
 
+    ``order`` has to tell the rows of a key apart; of equal ones any may stay.
+
     ``max_by`` keeps one row per key on the map side already, so a key with very many changes
     reaches the shuffle as one row per task, not as a window partition of all its changes.
     """

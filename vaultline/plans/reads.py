@@ -114,26 +114,9 @@ def customer_detail(bank, customer_id: int) -> dict[str, DataFrame]:
 
 
 def customer_detail_rows(bank, customer_id: int) -> DataFrame:
-    """The same as one frame: ``section``, the key of the row in it, and its main values."""
-    parts = customer_detail(bank, customer_id)
-
-    def rows(section: str, key: str, kind: str, status: str, amount: str) -> DataFrame:
-        return parts[section].select(
-            F.lit(section).alias("section"),
-            F.col(key).alias("row_key"),
-            F.col(kind).alias("kind"),
-            F.col(status).alias("status"),
-            F.col(amount).cast("decimal(25,2)").alias("amount"),
-        )
-
-    sections = [
-        rows("customers", "customer_id", "name", "email", "annual_income"),
-        rows("customer_360", "customer_id", "name", "customer_segment", "total_deposit_balance"),
-        rows("accounts", "account_id", "account_type", "status", "balance"),
-        rows("loans", "loan_id", "loan_type", "status", "loan_amount"),
-        rows("cards", "card_id", "card_type", "status", "credit_limit"),
-    ]
-    return reduce(DataFrame.unionByName, sections)
+    """The same as one frame: ``section`` and every column of every section, NULL where a section has none."""
+    parts = [frame.select(F.lit(name).alias("section"), "*") for name, frame in customer_detail(bank, customer_id).items()]
+    return reduce(lambda above, below: above.unionByName(below, allowMissingColumns=True), parts)
 
 
 def segment_counts(bank) -> DataFrame:

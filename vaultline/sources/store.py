@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.operators import curation
+from vaultline.operators import curation, reports
 from vaultline.operators.keys import KeySet, unique_key_set
 from vaultline.operators.tables import TABLES, Table
 from vaultline.sources.scratch import write_partitioned
@@ -77,7 +77,7 @@ def curate_all(
 
     ``read`` gives the raw rows of a table. With ``skip_missing`` it may give None: the table is
     skipped and its children find no parent. A failure stops the run after a FAILED summary of
-    what was done is logged.
+    what was done is logged. The logged summary holds the three most frequent reasons of each table.
     """
     started, summaries, status = curation.run_time(), {}, "FAILED"
     keys: dict[str, KeySet] = {}
@@ -95,9 +95,19 @@ def curate_all(
         status = "SUCCESS"
     finally:
         if log is not None:
-            log(RunSummary.total("all tables", started, curation.run_time(), summaries.values(), status))
+            ended, reasons = curation.run_time(), _reasons(store, summaries)
+            log(RunSummary.total("all tables", started, ended, summaries.values(), status, reasons))
     return summaries
 
 
+def _reasons(store: Store, done: Iterable[str]) -> dict[str, dict[str, int]]:
+    """Per table its most frequent reasons and how many rows each rejected; three a table reach the driver."""
+    found: dict[str, dict[str, int]] = {name: {} for name in done}
+    if found:
+        for row in reports.top_reasons({name: store.rows(name) for name in found}).collect():
+            found[row["table_name"]][row["rejection_reason"]] = row["n"]
+    return found
+
+
 def _no_keys(spark: SparkSession) -> KeySet:
     return KeySet(spark.range(0).select(F.col("id").alias("key")), 0)

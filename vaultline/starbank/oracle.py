@@ -36,8 +36,10 @@ def ref(x: str) -> str:
 
 
 def time(x: str) -> str:
-    pattern = "\\d{4}-\\d{1,2}-\\d{1,2}([ T]\\d{1,2}:\\d{1,2}(:\\d{1,2}(\\.\\d+)?)?)?"
-    return f"CASE WHEN regexp_full_match({strip(x)}, '{pattern}') THEN try_cast({strip(x)} AS TIMESTAMP) END"
+    zone = "(Z|[+-]\\d{2}:?\\d{2})"
+    pattern = f"\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}([ T]\\d{{1,2}}:\\d{{1,2}}(:\\d{{1,2}}(\\.\\d+)?)?{zone}?)?"
+    written = f"regexp_replace({strip(x)}, '(:[0-9.]+){zone}$', '\\1')"
+    return f"CASE WHEN regexp_full_match({strip(x)}, '{pattern}') THEN try_cast({written} AS TIMESTAMP) END"
 
 
 def day(x: str) -> str:
@@ -593,14 +595,13 @@ def _reads() -> dict[str, str]:
         "o1_list_customers": f"""SELECT customer_id, name, gender, city, state, email, occupation,
             {dbl('annual_income')} AS annual_income, credit_score, join_date FROM customers
             WHERE lower(city) = lower('{registry.LIST_CITY}') ORDER BY customer_id LIMIT 20 OFFSET 5""",
-        "o2_customer_detail": f"""
-            SELECT 'customers' AS section, customer_id AS row_key, name AS kind, email AS status, {dbl('annual_income')} AS amount
-            FROM customers WHERE customer_id = {customer}
-            UNION ALL SELECT 'customer_360', customer_id, name, customer_segment, {dbl('total_deposit_balance')}
-            FROM customer_360 WHERE customer_id = {customer}
-            UNION ALL SELECT 'accounts', account_id, account_type, status, {dbl('balance')} FROM accounts WHERE customer_id = {customer}
-            UNION ALL SELECT 'loans', loan_id, loan_type, status, {dbl('loan_amount')} FROM loans WHERE customer_id = {customer}
-            UNION ALL SELECT 'cards', card_id, card_type, status, {dbl('credit_limit')} FROM cards WHERE customer_id = {customer}""",
+        "o2_customer_detail": " UNION ALL BY NAME ".join(
+            f"SELECT '{name}' AS section, {columns} FROM {name} WHERE customer_id = {customer}"
+            for name, columns in (
+                ("customers", _as_doubles("customers")), ("customer_360", C360_COLUMNS), ("accounts", _as_doubles("accounts")),
+                ("loans", _as_doubles("loans")), ("cards", _as_doubles("cards")),
+            )
+        ),
         "o3_list_accounts": f"""SELECT {_as_doubles('accounts')} FROM accounts WHERE lower(account_type) = 'fixed deposit'
             ORDER BY account_id LIMIT 100 OFFSET 10""",
         "o4_list_transactions": f"""SELECT {_as_doubles('transactions')} FROM transactions
@@ -726,16 +727,26 @@ def _csv_text(x: str) -> str:
 def _sources() -> dict[str, str]:
     read = {n: f"SELECT {', '.join(f'{_csv_text(c)} AS {c}' for c in RAW_COLUMNS[n])} FROM raw_{n}" for n in NAMES}
     totals = "sum(total_records)", "sum(curated_records)", "sum(bad_records)"
-    lake_totals = (
+    run_totals = (
         "SELECT 'all tables' AS pipeline_name, 'SUCCESS' AS status, "
         + ", ".join(f"{big(t)} AS {c}" for t, c in zip(totals, ("total_records", "curated_records", "bad_records")))
-        + f", {_rates('sum(curated_records)', 'sum(bad_records)', 'sum(total_records)')} FROM ({_summary(LAKE)})"
+        + f", {_rates('sum(curated_records)', 'sum(bad_records)', 'sum(total_records)')} FROM ({_summary(NAMES)})"
     )
+    reasons = _reports()["p2_top_reasons"]
+    skipped = [n for n in LAKE if n not in ("accounts", "transactions")]
     return {
         "a1_read_raw": read["customers"],
         "a2_read_large": read["transactions"],
+        "a2_read_large_loan_payments": read["loan_payments"],
+        "a2_read_large_card_transactions": read["card_transactions"],
         "a3_read_parent_keys": "SELECT account_id FROM accounts",
         "a5_write_curated_and_quarantine": _counts([("curated", "cards"), ("quarantine", "bad_cards")]),
+        "a6_empty_output": f"""SELECT 'quarantine' AS zone, count(*) AS n, count(transaction_id) AS with_id
+            FROM raw_transactions HAVING count(*) > 0""",
+        "a7_skip_missing": _counts(
+            [(f"silver/{n}", n) for n in skipped] + [(f"quarantine/{n}", f"bad_{n}") for n in skipped]
+            + [("silver/transactions", "raw_transactions WHERE false"), ("quarantine/transactions", "raw_transactions")]
+        ),
         "a9_lake_curation": _counts([(f"silver/{n}", n) for n in LAKE] + [(f"quarantine/{n}", f"bad_{n}") for n in LAKE]),
         "a10_staged_publish": _counts([(n, n) for n in NAMES]),
         "a11_fk_audit": _fk_rows(""),
@@ -745,7 +756,11 @@ def _sources() -> dict[str, str]:
         "a13_pk_audit": _pk_rows(""),
         "a13_pk_audit_raw": _pk_rows("all_"),
         "a14_table_counts": _counts([(n, n) for n in NAMES]),
-        "a17_run_log": lake_totals,
+        "a15_build_mart": _counts([
+            ("monthly_customer_summary", "mcs"), ("monthly_customer_summary_full", "mcs_full"),
+            ("monthly_branch_summary", "mbs"), ("customer_360", "customer_360"),
+        ]),
+        "a17_run_log": f"SELECT t.*, r.table_name, r.rejection_reason, r.n FROM ({run_totals}) t CROSS JOIN ({reasons}) r",
     }
 
 
@@ -790,12 +805,13 @@ def _reports() -> dict[str, str]:
               SELECT table_name, rejection_reason, count(*) AS n FROM rejected GROUP BY ALL)) WHERE rank <= 3""",
         "p3_reason_breakdown": "SELECT table_name, rule, stage, count(*) AS n FROM broken GROUP BY ALL",
         "p4_cascade_report": " UNION ALL ".join(_cascade(n) for n in children),
-        "p5_redact": _redaction(),
+        "p5_redact": _redaction("documents", "doc_id"),
+        "p5_redact_conversations": _redaction("conversations", "conv_id", "turn"),
     }
 
 
-def _redaction() -> str:
-    secret = "CAST(doc_id AS VARCHAR)"
+def _redaction(table: str, *keys: str) -> str:
+    secret = f"CAST({keys[0]} AS VARCHAR)"
     text = (
         f"text || chr(10) || 'password: pw' || {secret} || ', Token=' || {secret} || '; API-key:  k-' || {secret} || "
         f"' secret=s3cr3t&aws_secret_access_key=AK' || {secret} || ' postgresql://svc:p' || {secret} || "
@@ -805,7 +821,7 @@ def _redaction() -> str:
         text = f"regexp_replace({text}, '({word}[:=]\\s*)([^\\s,;&]+)', '\\1[REDACTED]', 'gi')"
     for scheme in ("postgres", "postgresql"):
         text = f"regexp_replace({text}, '({scheme}://[^\\s:]+:)([^@]+)(@)', '\\1[REDACTED]\\3', 'gi')"
-    return f"SELECT doc_id, {text} AS redacted FROM documents"
+    return f"SELECT {', '.join(keys)}, {text} AS redacted FROM {table}"
 
 
 def _events() -> dict[str, str]:

@@ -6,14 +6,14 @@ import threading
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaultline.functions import columns as C
 from vaultline.functions.redaction import mask_personal, redact
 from vaultline.operators import audit, curation, reports
-from vaultline.operators.keys import KeySet, duplicate_keys
+from vaultline.operators.keys import KeySet, duplicate_keys, unique_key_set
 from vaultline.operators.merge import latest_per_key
 from vaultline.operators.tables import LAKE_TABLES, TABLES, with_parents
 from vaultline.plans import analytics, marts, reads
@@ -148,13 +148,12 @@ def curate_everything(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
-    """The log of a run over the lake's tables, appended once and read back."""
+    """The log of a run over all tables, appended once and read back: one row per table and frequent reason."""
     path = new_folder(spark, "log")
     store = Store(spark, new_folder(spark, "curate"))
-    curate_all(
-        store, lambda name: raw_table(spark, folder, name), LAKE_TABLES, log=lambda s: append_to_log(spark, path, s)
-    )
-    return read_log(spark, path).select(*SUMMARY_COLUMNS)
+    curate_all(store, lambda name: raw_table(spark, folder, name), log=lambda s: append_to_log(spark, path, s))
+    tables = read_log(spark, path).select(*SUMMARY_COLUMNS, F.explode("rejection_reasons").alias("table_name", "reasons"))
+    return tables.select(*SUMMARY_COLUMNS, "table_name", F.explode("reasons").alias("rejection_reason", "n"))
 
 
 def _csv_copy(spark: SparkSession, folder: str, names) -> str:
@@ -187,6 +186,38 @@ def lake_curation(spark: SparkSession, folder: str) -> DataFrame:
     return audit.table_counts(zones)
 
 
+def lake_without_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """The lake job where the files of accounts are missing: they are skipped, and no transaction finds its account."""
+    delivered = [name for name in LAKE_TABLES if name != "accounts"]
+    root = _csv_copy(spark, folder, delivered)
+    files.curate_lake(spark, root)
+    zones = {}
+    for name in delivered:
+        zones[f"silver/{name}"], zones[f"quarantine/{name}"] = files.read_lake(spark, root, name)
+    return audit.table_counts(zones)
+
+
+def nothing_curated(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions of a bank without accounts: the curated output has its columns and no rows."""
+    store = Store(spark, new_folder(spark, "curate"))
+    no_accounts = unique_key_set(star_bank(spark, folder).curated("accounts").limit(0), "account_id")
+    curate_table(store, TABLES["transactions"], raw_table(spark, folder, "transactions"), {"accounts": no_accounts})
+    bad = store.quarantine("transactions").select(F.lit("quarantine").alias("zone"), *TABLES["transactions"].schema.names)
+    good = store.curated("transactions").select(F.lit("curated").alias("zone"), *TABLES["transactions"].schema.names)
+    shown = [F.col(c).cast("string") for c in good.columns]
+    rows = good.select(*shown).unionByName(bad.select(*shown))
+    return rows.groupBy("zone").agg(F.count("*").alias("n"), F.count("transaction_id").alias("with_id"))
+
+
+def built_marts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every mart written to its folder, twice, and read back; rows per mart."""
+    bank, root = star_bank(spark, folder).bank, new_folder(spark, "marts")
+    for name in marts.PUBLIC_MARTS:
+        marts.build_mart(bank, name, f"{root}/{name}")
+    marts.build_mart(bank, "customer_360", f"{root}/customer_360")
+    return audit.table_counts({name: spark.read.parquet(f"{root}/{name}") for name in marts.PUBLIC_MARTS})
+
+
 def curated_and_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Both outputs of cards, the table with most rules, written as plain folders and read back."""
     bank = star_bank(spark, folder)
@@ -236,16 +267,23 @@ def quarantine_counts(rows: dict[str, DataFrame]) -> DataFrame:
     return reports.all_quarantine(rows).groupBy("table_name", "validation_stage").agg(F.count("*").alias("n"))
 
 
-def redacted_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole documents, each carrying credentials in the forms that a log would."""
-    docs = base_table(spark, folder, "documents")
-    secret = F.col("doc_id").cast("string")
-    text = F.concat(
-        F.col("text"), F.lit("\npassword: pw"), secret, F.lit(", Token="), secret, F.lit("; API-key:  k-"), secret,
+def _with_secrets(text: Column, secret: Column) -> Column:
+    """A text carrying credentials in the forms that a log would."""
+    return F.concat(
+        text, F.lit("\npassword: pw"), secret, F.lit(", Token="), secret, F.lit("; API-key:  k-"), secret,
         F.lit(" secret=s3cr3t&aws_secret_access_key=AK"), secret, F.lit(" postgresql://svc:p"), secret,
         F.lit("@db/bank POSTGRES://u:q"), secret, F.lit("@h"),
     )
-    return docs.select("doc_id", redact(text).alias("redacted"))
+
+
+def redacted_documents(spark: SparkSession, folder: str) -> DataFrame:
+    text = _with_secrets(F.col("text"), F.col("doc_id").cast("string"))
+    return base_table(spark, folder, "documents").select("doc_id", redact(text).alias("redacted"))
+
+
+def redacted_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    text = _with_secrets(F.col("text"), F.col("conv_id").cast("string"))
+    return base_table(spark, folder, "conversations").select("conv_id", "turn", redact(text).alias("redacted"))
 
 
 def masked_customers(bank) -> DataFrame:
@@ -343,9 +381,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found["l11_curate_all"] = curate_everything
 
     found["a1_read_raw"] = _read_raw("customers")
-    found["a2_read_large"] = _read_raw("transactions")
+    for name in ("transactions", "loan_payments", "card_transactions"):
+        found["a2_read_large" if name == "transactions" else f"a2_read_large_{name}"] = _read_raw(name)
     found["a3_read_parent_keys"] = _on_bank(lambda bank: bank["accounts"].select("account_id"))
     found["a5_write_curated_and_quarantine"] = curated_and_quarantine
+    found["a6_empty_output"] = nothing_curated
+    found["a7_skip_missing"] = lake_without_accounts
     found["a9_lake_curation"] = lake_curation
     found["a10_staged_publish"] = staged_publish
     found["a11_fk_audit"] = lambda spark, folder: audit.fk_audit(star_bank(spark, folder).bank.tables())
@@ -355,6 +396,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found["a13_pk_audit"] = lambda spark, folder: audit.pk_audit(star_bank(spark, folder).bank.tables())
     found["a13_pk_audit_raw"] = lambda spark, folder: audit.pk_audit(_raw_standardised(spark, folder))
     found["a14_table_counts"] = lambda spark, folder: audit.table_counts(star_bank(spark, folder).bank.tables())
+    found["a15_build_mart"] = built_marts
     found["a17_run_log"] = run_log
 
     found["e9_duplicate_keys"] = all_duplicates
@@ -388,6 +430,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found["p3_reason_breakdown"] = _report(reports.reason_breakdown)
     found["p4_cascade_report"] = _report(reports.cascade_report)
     found["p5_redact"] = redacted_documents
+    found["p5_redact_conversations"] = redacted_conversations
 
     found["j1_flag_events"] = flagged_events
     found["j2_route_events"] = routed_events
