@@ -39,6 +39,9 @@ def test_dates_stand_alone(spark):
         None, None, None, None, None,
     ]
     assert values(spark, texts, C.in_time_span(C.parse_time(C.strip(F.col("x"))))) == want
+    zoned = ["2026-03-12T23:30:00+05:30", "2026-03-12T01:30:00.5Z", "2026-03-12 10:00-0800", "2026-03-12Z", "2026-03-12T10:00+5"]
+    written = [datetime(2026, 3, 12, 23, 30), datetime(2026, 3, 12, 1, 30, 0, 500000), datetime(2026, 3, 12, 10), None, None]
+    assert values(spark, zoned, C.parse_time(C.strip(F.col("x")))) == written
 
 
 def test_strip_takes_all_white_space(spark):

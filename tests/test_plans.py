@@ -116,7 +116,12 @@ def test_pages(bank):
     assert [r["loan_id"] for r in reads.list_loans(bank, customer_id=1, status="ACTIVE").collect()] == [201, 202]
     assert [r["card_id"] for r in reads.list_cards(bank, card_type="credit - gold").collect()] == [302]
     assert [r["account_id"] for r in reads.list_accounts(bank, account_type="nri").collect()] == [13]
-    for bad in ({"limit": 0}, {"limit": 201}, {"offset": -1}):
+    everything = [tuple(r) for r in reads.list_transactions(bank).select("txn_date", "transaction_id").collect()]
+    for at, last in enumerate(everything):
+        behind = reads.list_transactions(bank, after=last).select("txn_date", "transaction_id").collect()
+        assert [tuple(r) for r in behind] == everything[at + 1 :]
+    assert [r["customer_id"] for r in reads.list_customers(bank, city="pune", after=(1,)).collect()] == [2]
+    for bad in ({"limit": 0}, {"limit": 201}, {"offset": -1}, {"after": (1, 2)}):
         with pytest.raises(ValueError):
             reads.list_customers(bank, **bad)
     with pytest.raises(ValueError):
@@ -135,6 +140,8 @@ def test_customer_detail(bank):
         "customers": 1, "customer_360": 1, "accounts": 2, "loans": 2, "cards": 1,
     }
     assert reads.customer_detail_rows(bank, 99).count() == 0
+    rows = reads.customer_detail_rows(bank, 1)
+    assert rows.count() == 7 and set(rows.columns) == {"section"}.union(*[frame.columns for frame in detail.values()])
     with pytest.raises(ValueError):
         reads.customer_detail(bank, 0)
 

@@ -47,6 +47,8 @@ def test_a_full_run_from_csv(spark, tmp_path, raw_folder):
     assert reason == "Card ID 3001 not found in Curated Cards"
     entry = read_log(spark, log).first()
     assert (entry["status"], entry["total_records"], entry["bad_records"]) == ("SUCCESS", 15, 5)
+    assert set(entry["rejection_reasons"]) == set(TABLES) and entry["rejection_reasons"]["branches"] == {}
+    assert entry["rejection_reasons"]["card_transactions"] == {"Card ID 3001 not found in Curated Cards": 1}
 
     rows = {name: store.rows(name) for name in TABLES}
     cascade = {r["table_name"]: tuple(r)[1:] for r in reports.cascade_report(rows).collect()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,13 +18,30 @@ CUSTOMER_COLUMNS = (
 )
 
 
-def page(frame: DataFrame, order: list[Column], limit: int, offset: int) -> DataFrame:
-    """One page in a total order. Each task keeps ``offset + limit`` rows at most."""
+def page(frame: DataFrame, order: dict[str, Callable], limit: int, offset: int = 0, after: tuple | None = None) -> DataFrame:
+    """One page in a total order: columns, each ``up`` or ``down``.
+
+    ``after`` holds the values of these columns in the last row of the page before. Earlier rows are then
+    filtered out at the scan and each task keeps ``limit`` rows, however deep the page; with ``offset``
+    it keeps ``offset + limit``. The columns hold no NULL.
+    """
     if not 1 <= limit <= MAX_LIMIT:
         raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
     if offset < 0:
         raise ValueError("offset must not be negative")
-    return frame.orderBy(*order).offset(offset).limit(limit)
+    if after is not None:
+        frame = frame.where(_behind(order, after))
+    return frame.orderBy(*[direction(name) for name, direction in order.items()]).offset(offset).limit(limit)
+
+
+def _behind(order: dict[str, Callable], after: tuple) -> Column:
+    if len(after) != len(order):
+        raise ValueError(f"after needs values of {', '.join(order)}")
+    behind = None
+    for (name, direction), value in reversed(list(zip(order.items(), after))):
+        further = F.col(name) > value if direction is up else F.col(name) < value
+        behind = further if behind is None else further | ((F.col(name) == value) & behind)
+    return behind
 
 
 def _positive(**ids: int | None) -> None:
@@ -42,15 +60,16 @@ def contains_text(column: str, value: str) -> Column:
     return F.col(column).ilike(f"%{escaped}%")
 
 
-def list_customers(bank, limit: int = DEFAULT_LIMIT, offset: int = 0, city: str | None = None) -> DataFrame:
+def list_customers(bank, limit: int = DEFAULT_LIMIT, offset: int = 0, city: str | None = None, after: tuple | None = None) -> DataFrame:
     rows = bank["customers"].select(*CUSTOMER_COLUMNS)
     if city:
         rows = rows.where(same_text("city", city))
-    return page(rows, [up("customer_id")], limit, offset)
+    return page(rows, {"customer_id": up}, limit, offset, after)
 
 
 def list_accounts(
-    bank, customer_id: int | None = None, account_type: str | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0
+    bank, customer_id: int | None = None, account_type: str | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0,
+    after: tuple | None = None,
 ) -> DataFrame:
     _positive(customer_id=customer_id)
     rows = bank["accounts"]
@@ -58,19 +77,21 @@ def list_accounts(
         rows = rows.where(F.col("customer_id") == customer_id)
     if account_type:
         rows = rows.where(same_text("account_type", account_type))
-    return page(rows, [up("account_id")], limit, offset)
+    return page(rows, {"account_id": up}, limit, offset, after)
 
 
-def list_transactions(bank, account_id: int | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:
+def list_transactions(bank, account_id: int | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0,
+                      after: tuple | None = None) -> DataFrame:
     _positive(account_id=account_id)
     rows = bank["transactions"]
     if account_id:
         rows = rows.where(F.col("account_id") == account_id)
-    return page(rows, [down("txn_date"), down("transaction_id")], limit, offset)
+    return page(rows, {"txn_date": down, "transaction_id": down}, limit, offset, after)
 
 
 def list_loans(
-    bank, customer_id: int | None = None, status: str | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0
+    bank, customer_id: int | None = None, status: str | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0,
+    after: tuple | None = None,
 ) -> DataFrame:
     _positive(customer_id=customer_id)
     rows = bank["loans"]
@@ -78,11 +99,12 @@ def list_loans(
         rows = rows.where(F.col("customer_id") == customer_id)
     if status:
         rows = rows.where(same_text("status", status))
-    return page(rows, [up("loan_id")], limit, offset)
+    return page(rows, {"loan_id": up}, limit, offset, after)
 
 
 def list_cards(
-    bank, customer_id: int | None = None, card_type: str | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0
+    bank, customer_id: int | None = None, card_type: str | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0,
+    after: tuple | None = None,
 ) -> DataFrame:
     _positive(customer_id=customer_id)
     rows = bank["cards"]
@@ -90,14 +112,15 @@ def list_cards(
         rows = rows.where(F.col("customer_id") == customer_id)
     if card_type:
         rows = rows.where(same_text("card_type", card_type))
-    return page(rows, [up("card_id")], limit, offset)
+    return page(rows, {"card_id": up}, limit, offset, after)
 
 
-def list_customer_360(bank, segment: str | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:
+def list_customer_360(bank, segment: str | None = None, limit: int = DEFAULT_LIMIT, offset: int = 0,
+                      after: tuple | None = None) -> DataFrame:
     rows = bank["customer_360"]
     if segment:
         rows = rows.where(contains_text("customer_segment", segment))
-    return page(rows, [down("total_deposit_balance"), up("customer_id")], limit, offset)
+    return page(rows, {"total_deposit_balance": down, "customer_id": up}, limit, offset, after)
 
 
 DETAIL_SECTIONS = ("customers", "customer_360", "accounts", "loans", "cards")

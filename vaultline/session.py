@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Windows and replay ids of streams are kept on disk, not in the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # HotSpot never compiles a method over 8000 bytes; wide rule projections can exceed that.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

@@ -611,6 +611,8 @@ def _reads() -> dict[str, str]:
             ORDER BY card_id LIMIT 150""",
         "o7_list_customer_360": f"""SELECT {C360_COLUMNS} FROM customer_360 c WHERE customer_segment ILIKE '%low risk%'
             ORDER BY c.total_deposit_balance DESC, customer_id LIMIT 60""",
+        "o7_list_customer_360_by_key": f"""SELECT {C360_COLUMNS} FROM customer_360 c WHERE customer_segment ILIKE '%low risk%'
+            ORDER BY c.total_deposit_balance DESC, customer_id LIMIT 50 OFFSET 10""",
         "o8_dashboard_kpis": f"""SELECT (SELECT count(*) FROM customers) AS total_customers,
             (SELECT count(*) FROM accounts) AS total_accounts, (SELECT {dbl('sum(balance)')} FROM accounts) AS total_deposits,
             (SELECT count(*) FROM loans WHERE status = 'Active') AS total_active_loans,
@@ -862,6 +864,8 @@ def _events() -> dict[str, str]:
 
 def oracle_sql() -> dict[str, str]:
     bodies = {}
+    for name in ("o1_list_customers", "o4_list_transactions"):  # a page by key is the page by offset
+        bodies[f"{name}_by_key"] = _reads()[name]
     for number, name in enumerate(NAMES, 1):
         bodies[f"c{number}_validate_{name}"] = f"SELECT * FROM bad_{name}"
         bodies[f"i{number}_transform_{name}"] = f"SELECT {_as_doubles(name)} FROM {name}"

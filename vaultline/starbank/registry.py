@@ -125,6 +125,16 @@ def _standardise(name: str):
     return run
 
 
+def _next_page(read: Callable[..., DataFrame], order: tuple[str, ...], first: int, **arguments):
+    """The page behind the first ``first`` rows, found by the key of the last of them."""
+
+    def run(bank) -> DataFrame:
+        *_, last = read(bank, **{**arguments, "limit": first}).select(*order).collect()
+        return read(bank, **arguments, after=tuple(last))
+
+    return _on_bank(run)
+
+
 SUMMARY_COLUMNS = (
     "pipeline_name", "status", "total_records", "curated_records", "bad_records", "success_rate_pct", "failure_rate_pct",
 )
@@ -422,6 +432,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found["o5_list_loans"] = _on_bank(reads.list_loans, status="ACTIVE")
     found["o6_list_cards"] = _on_bank(reads.list_cards, card_type="credit - gold", limit=150)
     found["o7_list_customer_360"] = _on_bank(reads.list_customer_360, segment="low RISK", limit=60)
+    found["o1_list_customers_by_key"] = _next_page(reads.list_customers, ("customer_id",), 5, city=LIST_CITY, limit=20)
+    found["o4_list_transactions_by_key"] = _next_page(reads.list_transactions, ("txn_date", "transaction_id"), 50, limit=200)
+    found["o7_list_customer_360_by_key"] = _next_page(
+        reads.list_customer_360, ("total_deposit_balance", "customer_id"), 10, segment="low RISK", limit=50
+    )
     found["o8_dashboard_kpis"] = _on_bank(reads.dashboard_kpis)
     found["o9_segment_counts"] = _on_bank(reads.segment_counts)
 
