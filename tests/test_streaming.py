@@ -58,18 +58,25 @@ def minute(n, second=0):
     return datetime(2024, 1, 1, 12 + n // 60, n % 60, second)
 
 
-def test_windows_as_stream_equal_windows_as_batch(spark, tmp_path, source):
+@pytest.mark.parametrize("fold_every", [100, 2, 1])
+def test_windows_as_stream_equal_windows_as_batch(spark, tmp_path, source, fold_every):
     rows = [(i, i % 3, 1.5 * i, "UPI" if i % 2 else "ATM", "t", minute(i % 17, i % 60)) for i in range(60)]
     for part in (rows[:20], rows[20:40], rows[40:]):
         source(part)
     stream = E.read_stream(spark, source.path, E.EVENT_SCHEMA, files_per_trigger=1)
     windows = E.sliding(stream, late="1 hour")
     path = str(tmp_path / "windows")
-    E.update_sink(windows, path, str(tmp_path / "check")).awaitTermination()
     keys = ["window_start", "window_end", "channel"]
+    E.update_sink(windows, path, str(tmp_path / "check"), keys, fold_every).awaitTermination()
     got = E.read_updates(spark, path, windows.schema, keys).orderBy(*keys).collect()
     want = E.sliding(spark.read.parquet(source.path)).orderBy(*keys).collect()
     assert got == want and len(want) > 30
+    generations = sorted((tmp_path / "windows").glob("generation=*"))
+    # three files, and a micro-batch without events behind them
+    assert len(generations) == {100: 1, 2: 2, 1: 4}[fold_every]
+    for old in generations[:-1]:  # what came before the last generation is not needed
+        old.rename(tmp_path / f"unread-{old.name}")
+    assert E.read_updates(spark, path, windows.schema, keys).orderBy(*keys).collect() == want
 
 
 def test_late_events_do_not_change_a_closed_window(spark, tmp_path, source):

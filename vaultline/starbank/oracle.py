@@ -848,6 +848,10 @@ def _events() -> dict[str, str]:
             FROM events GROUP BY ALL""",
         "s2_sliding_5m": sliding("event_type", "channel"),
         "s3_velocity_alert": f"SELECT * FROM ({sliding('user_id', 'account_id')}) WHERE events >= {registry.VELOCITY_EVENTS}",
+        "s4_late_data": f"""SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+            time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end, event_type AS channel, {sums}
+            FROM events GROUP BY ALL)
+            WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)""",
         "s5_event_dedup": """SELECT event_id AS transaction_id, user_id AS account_id, value AS amount, event_type AS channel
             FROM events""",
         "s6_incremental_merge": f"""SELECT account_id, changed_on, change_id, {dbl('amount')} AS amount FROM (

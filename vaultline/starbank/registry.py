@@ -367,13 +367,24 @@ def _windows(operator: Callable[[DataFrame], DataFrame], keys: list[str]):
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         frame = operator(_event_stream(spark, folder))
-        path = new_folder(spark, "windows")
-        E.update_sink(frame, path, new_folder(spark, "stream")).awaitTermination()
-        return _doubles(E.read_updates(spark, path, frame.schema, ["window_start", "window_end", *keys]))
+        path, by = new_folder(spark, "windows"), ["window_start", "window_end", *keys]
+        E.update_sink(frame, path, new_folder(spark, "stream"), by).awaitTermination()
+        return _doubles(E.read_updates(spark, path, frame.schema, by))
 
     return run
 
 
+def late_events(spark: SparkSession, folder: str) -> DataFrame:
+    """All events delivered, then delivered again too late: windows that the watermark closed hold each once."""
+    delivered, path, state = (new_folder(spark, name) for name in ("delivered", "closed", "stream"))
+    events = _as_events(base_table(spark, folder, "events"))
+    for _ in range(2):
+        events.write.mode("append").parquet(delivered)
+        windows = E.tumbling(E.read_stream(spark, delivered, events.schema))
+        E.append_sink(windows, path, state).awaitTermination()
+    return _doubles(spark.read.schema(windows.schema).parquet(path))
+
+
 def replayed_events(spark: SparkSession, folder: str) -> DataFrame:
     """The event stream delivered twice, with replays dropped."""
     stream = E.drop_replays(_event_stream(spark, folder).union(_event_stream(spark, folder)))
@@ -453,6 +464,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found["s1_tumbling_5m"] = _windows(E.tumbling, ["channel"])
     found["s2_sliding_5m"] = _windows(E.sliding, ["channel"])
     found["s3_velocity_alert"] = _windows(lambda e: E.velocity_alerts(e, VELOCITY_EVENTS), ["account_id"])
+    found["s4_late_data"] = late_events
     found["s5_event_dedup"] = replayed_events
     found["s6_incremental_merge"] = _on_bank(latest_balances)
     found["s7_partitioned_publish"] = partitioned_publish

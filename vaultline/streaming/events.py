@@ -132,14 +132,38 @@ def append_sink(frame: DataFrame, path: str, checkpoint: str):
     )
 
 
-def update_sink(frame: DataFrame, path: str, checkpoint: str):
+#: After so many micro-batches an update sink writes the current value of all keys anew.
+FOLD_EVERY = 100
+
+
+def _latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of each key with the greatest ``batch``."""
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v"))
+    return latest.select(*[F.col(f"v.{c}").alias(c) if c in values else F.col(c) for c in rows.columns if c != "batch"])
+
+
+def _generation(spark: SparkSession, path: str, schema: T.StructType, number: int) -> DataFrame:
+    """The rows written in one generation of an update sink, with the ``batch`` that wrote them."""
+    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(full).parquet(f"{path}/generation={number}")
+
+
+def update_sink(frame: DataFrame, path: str, checkpoint: str, keys: list[str], fold_every: int = FOLD_EVERY):
     """Changed result rows of each micro-batch to a folder of its own.
 
-    A micro-batch that runs again replaces its folder, so a replay adds nothing.
+    A micro-batch that runs again replaces its folder, so a replay adds nothing. Every
+    ``fold_every``-th micro-batch begins a generation: it holds the current value of all keys, and
+    older generations are not read again and may be removed. ``fold_every`` stays as it is for a path.
     """
+    schema = frame.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        number, within = divmod(batch_id, fold_every)
+        if number and not within:
+            before = _generation(batch.sparkSession, path, schema, number - 1)
+            batch = _latest(before.unionByName(batch.withColumn("batch", F.lit(batch_id))), keys)
+        batch.write.mode("overwrite").parquet(f"{path}/generation={number}/batch={batch_id}")
 
     return (
         frame.writeStream.foreachBatch(write)
@@ -151,9 +175,9 @@ def update_sink(frame: DataFrame, path: str, checkpoint: str):
 
 
 def read_updates(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
-    """The current value of every key: the row its latest micro-batch wrote."""
-    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    rows = spark.read.schema(full).parquet(path)
-    values = [f.name for f in schema.fields if f.name not in keys]
-    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("v"))
-    return latest.select(*[F.col(f"v.{c}").alias(c) if c in values else F.col(c) for c in schema.names])
+    """The current value of every key: the row its latest micro-batch wrote, in the last generation."""
+    full = T.StructType([*schema.fields, T.StructField("generation", T.LongType())])
+    last = spark.read.schema(full).parquet(path).agg(F.max("generation")).first()[0]
+    if last is None:
+        return spark.createDataFrame([], schema)
+    return _latest(_generation(spark, path, schema, last), keys)
