@@ -298,6 +298,16 @@ def test_forward_recursion_sums_all_segmentations():
     assert np.isclose(uses @ np.array([1, 2, 1, 1, 2, 2, 0, 0]), 6)  # characters of both copies
 
 
+def test_lattice_words_one_by_one_or_together(monkeypatch):
+    model = lattice.Lattice(lattice.read_pieces(PIECES))
+    words = [b"", b"a", b"nation", "h\u00e4user\u2603".encode(), b"\xff", b"abc123" * 200, *(f"word{n}".encode() for n in range(40))]
+    counts = np.arange(1.0, len(words) + 1)
+    alone, uses = model.log_probability(words), model.expected(words, counts)
+    monkeypatch.setattr(lattice, "FEW", 0)
+    assert np.allclose(alone, model.log_probability(words), rtol=1e-12)
+    assert np.allclose(uses, model.expected(words, counts), rtol=1e-9, atol=1e-9)
+
+
 def test_lattice_score_against_plain_counts(documents, nothing):
     rows = lattice.score(documents, PIECES).collect()
     tokens = lambda key: text_of(key).encode().lower().split() + [None]

@@ -17,6 +17,7 @@ document's words meets the word table in a join on the word.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,6 +39,9 @@ LONGEST_FREQUENT = 48
 #: The weight of the vocabulary's own scores against the corpus, in pieces.
 PRIOR_WEIGHT = 1_000.0
 ROUNDS = 2
+#: Up to so many words of one length go through the recursion one by one, so that a word of
+#: any length needs no more than its own table of arcs.
+FEW = 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,10 +134,58 @@ class Lattice:
         codes = np.frombuffer("".join(held).encode("utf-32-le"), dtype="<u4").reshape(len(held), -1)
         return np.array(places), codes
 
+    def _table(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids (none: -1) and log scores of one word's arcs, by where they start and by length from 1."""
+        size = len(code)
+        ids = np.full((size, self.longest), -1, dtype=np.int32)
+        scores = np.full((size, self.longest), -np.inf)
+        key = np.zeros(size + 1, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for length in range(1, min(self.longest, size) + 1):
+                key = key[:-1] * _BASE + code[length - 1 :].astype(np.uint64) + np.uint64(1)
+                found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                hit = self.keys[found] == key
+                ids[: len(key), length - 1] = np.where(hit, self.ids[found], -1)
+                scores[: len(key), length - 1] = np.where(hit, self.scores[self.ids[found]], -np.inf)
+        scores[:, 0] = np.where(ids[:, 0] >= 0, scores[:, 0], self._unknown(code[None])[0])
+        return ids, scores
+
+    @staticmethod
+    def _chain(ending: np.ndarray) -> np.ndarray:
+        """Log sums over all paths from the start to each place; ``ending`` has scores by end and length."""
+        size, longest = ending.shape
+        turned = ending[:, ::-1]
+        out = np.full(size + longest, -np.inf)
+        out[longest - 1] = 0
+        for at in range(size):
+            through = out[at : at + longest] + turned[at]
+            most = through.max()
+            out[at + longest] = most + math.log(np.exp(through - most).sum())
+        return out[longest - 1 :]
+
+    def _forward_one(self, scores: np.ndarray) -> np.ndarray:
+        ending = np.full_like(scores, -np.inf)
+        for at in range(min(self.longest, len(scores))):
+            ending[at:, at] = scores[: len(scores) - at, at]
+        return self._chain(ending)
+
+    def _expected_one(self, code: np.ndarray, weight: float, total: np.ndarray) -> None:
+        """Adds one word's expected uses, by where arcs start: backward sums are those of the word turned round."""
+        ids, scores = self._table(code)
+        size = len(code)
+        forward, backward = self._forward_one(scores), self._chain(scores[::-1])[::-1]
+        for at in range(min(self.longest, size)):
+            used = np.flatnonzero(ids[:, at] >= 0)
+            share = np.exp(forward[used] + scores[used, at] + backward[used + at + 1] - forward[size]) * weight
+            np.add.at(total, ids[used, at], share)
+
     def log_probability(self, words: list[bytes]) -> np.ndarray:
         """Natural log of each word's probability, the sum over all its segmentations."""
         out = np.zeros(len(words))
         for places, codes in self._groups(words):
+            if len(codes) <= FEW:
+                out[places] = [self._forward_one(self._table(code)[1])[-1] for code in codes]
+                continue
             forward = np.full((codes.shape[1] + 1, len(codes)), -np.inf)
             forward[0] = 0
             for start, stop, _, scores in self._arcs(codes):
@@ -145,6 +197,10 @@ class Lattice:
         """Expected uses of each piece in all segmentations of the words, times their counts."""
         total = np.zeros(len(self.pieces))
         for places, codes in self._groups(words, 100_000):
+            if len(codes) <= FEW:
+                for place, code in zip(places, codes):
+                    self._expected_one(code, counts[place], total)
+                continue
             arcs = list(self._arcs(codes))
             size = codes.shape[1]
             forward = np.full((size + 1, len(codes)), -np.inf)
