@@ -574,6 +574,19 @@ def test_redaction_keeps_all_else(spark):
     assert rows == {1: "é [EMAIL], [IP] and [PHONE]!", 2: "clean", 3: ""}
 
 
+def test_redaction_covers_all_of_overlapping_spans(spark):
+    texts = [
+        "call +1 499 555 6503.bob@x.com",
+        "+49.30.1234567@fax.example.com",
+        "a@b.com-4111 1111 1111 1111",
+        "a@b.com-4111 1111 1111 1111, 1.2.3.4",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = personal.find(frame, F.col("text").alias("whole"))
+    rows = dict(found.select("doc_id", personal.redacted(F.col("whole"), F.col("spans"))).collect())
+    assert rows == {0: "call [PHONE]", 1: "[PHONE]", 2: "[EMAIL]", 3: "[EMAIL], [IP]"}
+
+
 # --- the queries --------------------------------------------------------------------------------
 
 

@@ -269,7 +269,10 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; of overlapping spans the first stays."""
+    """The text with each span replaced by its kind in brackets.
+
+    Overlapping spans are replaced as one, from the first start to the last stop, by the kind of the first.
+    """
     kinds = F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
     ordered = F.array_sort(
         F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["kind"].alias("kind")))
@@ -281,7 +284,9 @@ def redacted(text: Column, spans: Column) -> Column:
     return F.aggregate(
         ordered,
         state,
-        lambda s, x: F.when(x["start"] < s["at"], s).otherwise(
+        lambda s, x: F.when(
+            x["start"] < s["at"], F.struct(F.greatest(s["at"], x["stop"]).alias("at"), s["parts"].alias("parts"))
+        ).otherwise(
             F.struct(x["stop"].alias("at"), F.concat(s["parts"], F.array(put(s, x))).alias("parts"))
         ),
         lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(text, (s["at"] + 1).cast("int"), F.length(text))),
