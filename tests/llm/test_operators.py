@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import math
 import random
 import re
@@ -130,6 +131,39 @@ def test_packing_ids_match_the_tokenizers_library():
         assert encode(text) == found.ids
 
 
+def test_special_tokens_in_texts_as_the_unchanged_library_gives_them(tmp_path):
+    rng = random.Random(12)
+    marks = [" ", "  ", "\n", "ab", "'s", ".", "é", "<|endoftext|>", "<|endoftext", "|>", "<|", "中", "\t", "<|end|>", "<|end|>x"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randint(0, 14))) for _ in range(3_000)]
+    texts += ["a <|endoftext|> b", "", " " * 12_000 + "<|endoftext|>x"]
+    content = json.loads(open(BYTE_MODEL, encoding="utf-8").read())
+    plain = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+    paths = [BYTE_MODEL]
+    for at, more in enumerate([{}, {"special": False}, {"lstrip": True, "rstrip": True}]):
+        changed = dict(content)
+        changed["added_tokens"] = content["added_tokens"] + [
+            {"id": 50_257, "content": "<|end|>", **plain, **more},
+            {"id": 50_258, "content": "<|end|>x", **plain},
+        ]
+        paths.append(str(tmp_path / f"{at}.json"))
+        open(paths[-1], "w", encoding="utf-8").write(json.dumps(changed))
+    for path in paths:
+        encode = packing.encoder_of(path, special=True)
+        for text, found in zip(texts, Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)):
+            assert encode(text) == found.ids, (path, text)
+
+
+def test_packing_query_and_pipeline_give_special_tokens_their_ids(spark, tmp_path):
+    import corpus_pipeline
+    from vaultline.llm import queries
+
+    frame = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    want = zlib.crc32(np.array([64, 220, 50256, 275, 1], "<u4").tobytes())
+    for found in (queries.op10_packing(spark, str(tmp_path)), corpus_pipeline.packed(spark, frame, str(tmp_path))):
+        assert [(r.doc_tokens, r.ids_crc32) for r in found.collect()] == [(5, want)]
+
+
 # --- packing ------------------------------------------------------------------------------------
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 import zlib
 from array import array
 from bisect import bisect_right
@@ -45,8 +46,11 @@ LONG_RUN = 10_000
 _TOKENIZED = "doc_id long, doc_tokens long, whole array<long>, rest int, rest_crc long, heads array<long>, tails array<long>"
 
 
-def encoder_of(tokenizer: str) -> Callable[[str], list[int]]:
-    """Ids of a text by a tokenizers file of byte-level merges, without special tokens.
+def encoder_of(tokenizer: str, special: bool = False) -> Callable[[str], list[int]]:
+    """Ids of a text by a tokenizers file of byte-level merges.
+
+    Added tokens that stand in a text get their own ids, special ones only if ``special`` (as the
+    library does unless ``encode_special_tokens`` is set); no token is put around a text.
 
     The file's tokens in order of merging are exactly the ranks that tiktoken merges by, with the
     same pre-tokenizer and several times as fast. Texts that it refuses go to the tokenizers library.
@@ -55,7 +59,14 @@ def encoder_of(tokenizer: str) -> Callable[[str], list[int]]:
     from tokenizers import Tokenizer
 
     with open(tokenizer, encoding="utf-8") as file:
-        model = json.load(file)["model"]
+        content = json.load(file)
+    model = content["model"]
+    added = {t["content"]: t for t in content.get("added_tokens") or [] if t["content"] and (special or not t["special"])}
+    # a token that takes white space with it, or has to be found in a normalised text, is left to the library
+    plainly = not content.get("normalizer") and not any(
+        t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in added.values()
+    )
+    longest_first = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
     # the fixed writing of bytes as characters: printable ones are themselves, the rest follow from 256 on
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters = {chr(b): b for b in plain}
@@ -78,20 +89,35 @@ def encoder_of(tokenizer: str) -> Callable[[str], list[int]]:
             except BaseException as fault:  # a fault of the native library is no ordinary exception
                 if isinstance(fault, KeyboardInterrupt | SystemExit | MemoryError):
                     raise
+        return by_library(text)
+
+    def by_library(text: str) -> list[int]:
         if not slow:
             backend = Tokenizer.from_file(tokenizer)
-            backend.encode_special_tokens = True
+            backend.encode_special_tokens = not special
             slow.append(backend)
         return slow[0].encode(text, add_special_tokens=False).ids
 
-    return encode
+    def encode_around(text: str) -> list[int]:
+        if not plainly and longest_first.search(text):
+            return by_library(text)
+        ids, at = [], 0
+        for found in longest_first.finditer(text):
+            ids += encode(text[at : found.start()])
+            ids.append(added[found[0]]["id"])
+            at = found.end()
+        return ids + encode(text[at:]) if at else encode(text)
+
+    return encode_around if added else encode
 
 
-def tokenize(documents: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) -> DataFrame:
+def tokenize(
+    documents: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END, special: bool = False
+) -> DataFrame:
     """Lengths and checksums of each document's windows and rest, and of the rest's possible pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder_of(tokenizer)
+        encode = encoder_of(tokenizer, special)
         last = np.array([end], dtype="<u4").tobytes()
         for batch, held in slices(batches):
             rows = []
@@ -249,17 +275,19 @@ def plan_of(counts: np.ndarray, window: int = WINDOW, grain: int = GRAIN) -> Pla
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(documents: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) -> DataFrame:
+def pack(
+    documents: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END, special: bool = False
+) -> DataFrame:
     """One row for each piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``,
     ``sequence_id``, ``offset``.
 
     Each id of each document (its last is ``end``) is in exactly one piece, and a sequence has at
     most ``window`` ids without gaps. Null and empty texts are one id. Repeated rows are packed
-    each; a missing ``doc_id`` stays missing; no rows give none.
+    each; a missing ``doc_id`` stays missing; no rows give none. ``special`` is that of ``encoder_of``.
     """
     spark = documents.sparkSession
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    done = keep(tokenize(documents, tokenizer, window, end), "tokens").withColumn(
+    done = keep(tokenize(documents, tokenizer, window, end, special), "tokens").withColumn(
         "bucket", F.pmod(F.xxhash64("doc_id", "rest_crc"), F.lit(buckets))
     )
     done = done.withColumn("windows", F.size("whole").cast("long"))

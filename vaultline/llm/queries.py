@@ -105,7 +105,7 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
