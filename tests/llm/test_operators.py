@@ -198,6 +198,23 @@ def test_packing_covers_every_id_once(documents, nothing):
     assert packing.pack(nothing, BYTE_MODEL).count() == 0
 
 
+def test_repeated_rows_are_packed_in_many_buckets(spark, monkeypatch):
+    tables = {}
+
+    def kept(frame, name, *more, keep=packing.keep):
+        tables[name] = keep(frame, name, *more)
+        return tables[name]
+
+    monkeypatch.setattr(packing, "keep", kept)
+    frame = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+    rows = packing.pack(frame.repartition(3), BYTE_MODEL).collect()
+    ids = packing.encoder_of(BYTE_MODEL)("same text") + [1]
+    check_packing(rows, {None: ids})
+    assert len(rows) == 400
+    many = [row.many for row in tables["counts"].collect()]
+    assert sum(many) == 400 and max(many) < 120  # of eight buckets
+
+
 @pytest.mark.parametrize("counts", [{1500: 1000}, {1: 5}, {2047: 3, 1: 2}, {n: 1 + n % 7 for n in range(1, 2048)}, {700: 10, 1100: 1}, {}])
 def test_plan_places_every_rest_once_with_little_padding(counts):
     table = np.zeros(packing.WINDOW, dtype=np.int64)

@@ -8,7 +8,7 @@ greedily: the longest first, then the longest that still fit, and where none fit
 
 All of this is decided on lengths, not on documents. A document finds its place by its rank
 among the rests of its length, which comes from counts of buckets and a window within one bucket;
-a length that a third of all documents have is dealt over all buckets.
+a length that a third of all documents have is dealt over all buckets, repeated rows too.
 """
 
 from __future__ import annotations
@@ -287,9 +287,9 @@ def pack(
     """
     spark = documents.sparkSession
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    done = keep(tokenize(documents, tokenizer, window, end, special), "tokens").withColumn(
-        "bucket", F.pmod(F.xxhash64("doc_id", "rest_crc"), F.lit(buckets))
-    )
+    # the position is written with the row, so that all that read the table see the same one
+    tokens = tokenize(documents, tokenizer, window, end, special).withColumn("position", F.monotonically_increasing_id())
+    done = keep(tokens, "tokens").withColumn("bucket", F.pmod(F.xxhash64("position"), F.lit(buckets)))
     done = done.withColumn("windows", F.size("whole").cast("long"))
     counts = keep(done.groupBy("rest", "bucket").agg(F.count("*").alias("many"), F.sum("windows").alias("windows")), "counts")
 
@@ -307,7 +307,7 @@ def pack(
         F.coalesce(F.sum("many").over(before), F.lit(0)).alias("rank_from"),
         F.coalesce(F.sum("windows").over(before), F.lit(0)).alias("window_from"),
     )
-    within = Window.partitionBy("rest", "bucket").orderBy("doc_id", "rest_crc", "doc_tokens")
+    within = Window.partitionBy("rest", "bucket").orderBy("position")
     ranked = (
         done.withColumn("rank", F.row_number().over(within) - 1)
         .withColumn(
