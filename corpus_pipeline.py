@@ -18,6 +18,10 @@ from vaultline.sources.scratch import keep
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
@@ -40,8 +44,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the attention network scores as good."""
-    network = attention_quality.train(docs, _labels(spark, sf_dir))
+    """Documents that the attention network scores as good.
+
+    It is fitted on the documents of the folder: those that came here hold hardly any bad ones to learn from.
+    """
+    network = attention_quality.train(_documents(spark, sf_dir), _labels(spark, sf_dir))
     scored = attention_quality.score(docs, network, *_others(docs))
     return _as_before(docs, scored.where(F.col("score") >= attention_quality.GOOD_FROM))
 
@@ -81,7 +88,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _documents(spark, sf_dir)
     for at, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if at < len(STAGES) - 1:

@@ -441,6 +441,20 @@ def test_attention_on_held_out_rows_and_empty_texts(spark, documents, nothing):
     assert attention_quality.train(nothing, labels.where("false")).forward(np.zeros((1, attention_quality.INPUTS)), np.zeros(1, int))[0][0] > 0.9
 
 
+def test_second_filter_learns_from_documents_that_the_first_one_dropped(spark, tmp_path):
+    import corpus_pipeline
+
+    rows, labels = labelled(spark)
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    held = attention_quality.fold(F.col("doc_id")) == 0
+    left = rows.join(labels, "doc_id").where(held | (F.col("quality") == 1)).select(rows.columns)  # all bad ones are held out
+    bad = left.join(labels.where("quality = 0"), "doc_id", "left_semi").count()
+    stays = corpus_pipeline.quality_classifier(spark, left, str(tmp_path)).join(labels, "doc_id")
+    assert bad > 20 and stays.where("quality = 0").count() <= 0.1 * bad
+    assert stays.where("quality = 1").count() >= 0.95 * left.count() - bad
+
+
 def test_attention_slopes_match_differences():
     rng = np.random.default_rng(0)
     network = attention_quality.Network()
