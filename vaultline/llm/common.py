@@ -47,3 +47,18 @@ def slices(
             size += len(text)
         if held:
             yield batch.slice(start), held
+
+
+def join_spread(rows: DataFrame, groups: DataFrame, keys: list[str], many: str, total: int) -> DataFrame:
+    """The rows whose key is in ``groups``, with its columns but ``many``.
+
+    ``groups`` is a written table of one row a key; ``many`` says how many of the ``total`` rows have it. Keys with
+    more rows than an even partition are fewer than partitions: they are broadcast and their rows stay
+    where they are; all others meet in a shuffle.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.col(many) * F.lit(partitions) > F.lit(total)
+    few, rest = groups.where(hot).drop(many), groups.where(~hot).drop(many)
+    at_hot = rows.join(F.broadcast(few), keys)
+    others = rows.join(F.broadcast(few.select(*keys)), keys, "left_anti")
+    return at_hot.unionByName(others.join(rest, keys))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm import (
+    alignment,
     attention_quality,
     chat,
     collision_search,
+    filter_audit,
     lattice,
     ngram_quality,
     packing,
@@ -19,8 +22,10 @@ from vaultline.llm import (
     sentencepiece_tokens,
     simhash,
     url_rules,
+    warc,
 )
 from vaultline.llm.common import fold
+from vaultline.sources.scratch import new_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -108,6 +113,40 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
 
 
+def groups_digest(aligned: alignment.Alignment) -> str:
+    """SHA-256 of the groups' ids as text, empty where there are none."""
+    if not len(aligned.sizes_a):
+        return ""
+    listed = lambda ids: ",".join(map(str, ids))
+    return hashlib.sha256(";".join([f"{listed(a)}|{listed(b)}" for a, b in aligned.groups()]).encode()).hexdigest()
+
+
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    scored = alignment.link_scores(
+        _table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        groups_digest,
+    )
+    return scored.withColumnRenamed("described", "groups_sha256")
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages to archives in the shared folder, then from these archives back."""
+    archives = warc.write(_table(spark, folder, "pages"), new_folder(spark, "warc"))
+    return warc.read(archives).where("last AND record_type IN ('response', 'revisit')").select(
+        warc.page_of(F.col("record_id")).alias("page_id"),
+        F.col("size").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -120,4 +159,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_rules": op8_url_rules,
         "op9_personal_data": op9_personal_data,
         "op10_packing": op10_packing,
+        "op11_alignment": op11_alignment,
+        "op12_warc": op12_warc,
+        "op13_filter_audit": op13_filter_audit,
     }
