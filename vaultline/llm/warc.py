@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.common import join_spread
-from vaultline.sources.scratch import keep
+from vaultline.sources.scratch import keep, new_folder
 
 CHUNK_BYTES = 256 << 10
 #: An archive that has reached this size is closed and a new one begun.
@@ -161,7 +161,10 @@ def write(
     is empty, a null url is left out, a null id too. No pages give no archives. Other columns stay behind.
     """
     spark = pages.sparkSession
-    chunks = keep(chunked(pages, chunk_bytes), "chunks")
+    table = chunked(pages, chunk_bytes)
+    path = new_folder(spark, "chunks")
+    table.write.option("compression", "zstd").parquet(path)  # payloads are most of what is kept
+    chunks = spark.read.schema(table.schema).parquet(path)
     whole = chunks.where("last").select("record", "page_id", "url", "size", "digest")
     many, total = whole.agg(F.count("*"), F.sum("size")).first()
     groups = (
