@@ -1,5 +1,7 @@
 """All tables become current together or not at all."""
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
@@ -80,7 +82,7 @@ def test_latest_row_per_key(spark):
 
 def test_overlapping_publishers_and_all_findings(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "shared")
-    first = publication.publish(spark, root, tables(spark))
+    publication.publish(spark, root, tables(spark))
     real = publication.findings
     second = []
 
@@ -91,6 +93,52 @@ def test_overlapping_publishers_and_all_findings(spark, tmp_path, monkeypatch):
         return real(frames)
 
     monkeypatch.setattr(publication, "findings", overtaken)
-    with pytest.raises(publication.PublicationRefused, match=first):
+    with pytest.raises(publication.PublicationRefused, match="number 1"):
         publication.publish(spark, root, tables(spark))
     assert publication.current_version(spark, root) == second[0]
+
+
+def folders(root):
+    return {path.name for path in (root / "versions").iterdir()}
+
+
+def test_of_two_publishers_past_their_audits_one_is_refused(spark, tmp_path, monkeypatch):
+    root, real, both = tmp_path / "shared", publication._staged, threading.Barrier(2)
+
+    def staged(*arguments):
+        counts = real(*arguments)
+        both.wait(120)  # each has seen that nothing is published
+        return counts
+
+    monkeypatch.setattr(publication, "_staged", staged)
+    frames = tables(spark)
+
+    def attempt(_):
+        try:
+            return publication.publish(spark, str(root), frames)
+        except publication.PublicationRefused as error:
+            return error
+
+    with ThreadPoolExecutor(2) as pool:
+        results = list(pool.map(attempt, range(2)))
+    done = [x for x in results if isinstance(x, str)]
+    assert len(done) == 1 and "another version followed number 0" in str(next(x for x in results if x != done[0]))
+    assert publication.current_version(spark, str(root)) == done[0]
+    assert folders(root) == {done[0]}
+    row = publication.versions(spark, str(root)).collect()
+    assert [(r["number"], r["base"], r["version"]) for r in row] == [(1, 0, done[0])]
+
+
+def test_refused_and_retired_versions_are_removed(spark, tmp_path):
+    root, small = tmp_path / "shared", ("branches",)
+    kept = [publication.publish(spark, str(root), tables(spark), small) for _ in range(3)]
+    with pytest.raises(publication.PublicationRefused):
+        publication.publish(spark, str(root), tables(spark, branches=[(None, "n", "c", "s", None, "i")]), small)
+    assert folders(root) == set(kept)
+    reading = publication.published(spark, str(root), "branches", kept[1])
+    assert publication.retire(spark, str(root), kept=2) == kept[:1]
+    assert folders(root) == set(kept[1:]) and reading.count() == 1
+    (root / "versions" / "killed").mkdir()
+    assert publication.sweep(spark, str(root)) == []
+    assert publication.sweep(spark, str(root), older_than=-1) == ["killed"]
+    assert publication.current_version(spark, str(root)) == kept[2]

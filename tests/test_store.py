@@ -1,13 +1,16 @@
 """Whole runs: files in, store, lake and logs out."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
 
-from vaultline.operators import reports
+from vaultline.operators import curation, reports
 from vaultline.operators.tables import TABLES, with_parents
-from vaultline.sources import files, jdbc
-from vaultline.sources.store import Store, curate_all, curate_table, require_parents
+from vaultline.sources import commits, files, jdbc
+from vaultline.sources import store as stores
+from vaultline.sources.commits import CommitLog
+from vaultline.sources.store import Store, WriteConflict, curate_all, curate_table, require_parents
 from vaultline.sources.summary import RunSummary, append_to_log, read_log
 from tests.helpers import VALID, parents_of, raw_frame, valid_row
 
@@ -135,3 +138,148 @@ def test_jdbc_options():
     assert options["partitionColumn"] == "account_id" and options["numPartitions"] == "8"
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:postgresql://h/db", "accounts", "u", "")
+
+
+def branches(spark, *ids):
+    rows = [valid_row("branches", branch_id=str(i), ifsc_code=None if i < 0 else "HRB00731") for i in ids]
+    return curation.validated(raw_frame(spark, "branches", rows), TABLES["branches"], {})
+
+
+def ids(reading):
+    return sorted(r["branch_id"] for r in reading.curated("branches").collect())
+
+
+def test_a_write_that_dies_before_its_record_changes_nothing(spark, tmp_path, monkeypatch):
+    store, table = Store(spark, str(tmp_path / "store")), TABLES["branches"]
+    assert store.write(table, branches(spark, 1, 2, -1)) == (2, 1)
+
+    def die(*_):
+        raise SystemExit("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(CommitLog, "commit", die)
+        patch.setattr(commits, "remove", lambda *_: None)  # a killed process cleans up nothing
+        with pytest.raises(SystemExit):
+            store.write(table, branches(spark, 7))
+    assert ids(store) == [1, 2] and store.snapshots("branches") == [1]
+    assert store.sweep("branches") == []  # it may still be running
+    assert len(store.sweep("branches", older_than=-1)) == 1
+    assert ids(store) == [1, 2] and store.write(table, branches(spark, 8)) == (1, 0) and ids(store) == [8]
+    with monkeypatch.context() as patch:
+        patch.setattr(stores, "write_partitioned", die)
+        with pytest.raises(SystemExit):
+            store.write(table, branches(spark, 9))
+    assert ids(store) == [8] and len(list((tmp_path / "store" / "branches" / "data").iterdir())) == 2
+
+
+def test_readers_keep_their_snapshot_and_old_ones_go(spark, tmp_path):
+    store, table = Store(spark, str(tmp_path / "store"), kept=2), TABLES["branches"]
+    with pytest.raises(FileNotFoundError, match="branches"):
+        store.rows("branches")
+    store.write(table, branches(spark, 1))
+    pinned, opened = store.pinned(), store.curated("branches")
+    store.write(table, branches(spark, 2, -3))
+    assert ids(pinned) == [1] and opened.count() == 1 and ids(store) == [2]
+    assert (store.snapshot("branches").good, store.snapshot("branches").bad, store.snapshot("branches", 1).good) == (1, 1, 1)
+    with pytest.raises(FileNotFoundError):
+        pinned.curated("loans")
+    for i in (4, 5, 6):
+        store.write(table, branches(spark, i))
+    assert store.snapshots("branches") == [4, 5] and ids(store) == [6]
+    data = {path.name for path in (tmp_path / "store" / "branches" / "data").iterdir()}
+    assert data == {store.snapshot("branches", n).folder.rsplit("/", 1)[1] for n in (4, 5)}
+
+
+def test_of_two_writers_one_is_refused(spark, tmp_path, monkeypatch):
+    store, table, real = Store(spark, str(tmp_path / "store")), TABLES["branches"], stores.write_partitioned
+    inner = []
+
+    def overtaken(rows, path, *columns):
+        real(rows, path, *columns)
+        if not inner:
+            inner.append("begun")
+            store.write(table, branches(spark, 2, 3))
+
+    monkeypatch.setattr(stores, "write_partitioned", overtaken)
+    with pytest.raises(WriteConflict, match="branches"):
+        store.write(table, branches(spark, 1))
+    assert ids(store) == [2, 3] and len(list((tmp_path / "store" / "branches" / "data").iterdir())) == 1
+
+
+@pytest.mark.parametrize("renamed", [False, True])
+def test_a_record_is_made_by_one_writer(spark, tmp_path, renamed):
+    path = f"{tmp_path}/log/000000000001.json"
+
+    def attempt(i):
+        if not renamed:
+            return commits.create_once(spark, path, f"writer {i}")
+        place, _ = commits._located(spark, path)
+        return commits._renamed(spark, place, place.getParent(), f".draft-{i}", f"writer {i}")
+
+    if renamed:  # the local file system has no rename of one step: one after the other
+        made = [attempt(i) for i in range(3)]
+    else:
+        with ThreadPoolExecutor(8) as pool:
+            made = list(pool.map(attempt, range(8)))
+    assert sum(made) == 1 and commits.read_text(spark, path) == f"writer {made.index(True)}"
+    assert [name for name in commits.names(spark, f"{tmp_path}/log") if not name.endswith(".crc")] == ["000000000001.json"]
+    assert CommitLog(spark, f"{tmp_path}/log").last() == 1
+
+
+LINES = (
+    b"branch_id,branch_name,city,state,opened_date,ifsc_code\n"
+    b"1,Plain,Kochi,KL,2020-01-01,HRB00001\n"
+    b'2,"a, ""b"" c",Kochi,KL,2020-01-01,HRB00002\r\n'
+    b"3,Short,Kochi\n"
+    b"4,Long,Kochi,KL,2020-01-01,HRB00004,x,y\n"
+    b'5,"never closed,Kochi,KL,2020-01-01,HRB00005\n'
+    b'6,"closed" early,Kochi,KL,2020-01-01,HRB00006\n'
+    b"7,caf\xe9,Kochi,KL,2020-01-01,HRB00007\n"
+    b'8,in "the" middle,Kochi,KL,2020-01-01,HRB00008\n'
+    b"\n"
+    b"branch_id,branch_name,city,state,opened_date,ifsc_code\n"
+    b"9,caf\xc3\xa9 \x01,NA,,2020-01-01,HRB00009"
+)
+
+
+def test_lines_that_are_no_rows_are_kept_apart(spark, tmp_path):
+    (tmp_path / "branches.csv").mkdir()
+    (tmp_path / "branches.csv" / "a.csv").write_bytes(LINES)
+    (tmp_path / "branches.csv" / "b.csv").write_bytes(LINES[: LINES.index(b"2,")])
+    got = files.ingest(spark, str(tmp_path / "branches.csv"), str(tmp_path / "stored"))
+    rows = sorted(map(tuple, got.rows.collect()))
+    at, end = "2020-01-01", "HRB0000"
+    assert rows == sorted([
+        ("1", "Plain", "Kochi", "KL", at, end + "1"), ("1", "Plain", "Kochi", "KL", at, end + "1"),
+        ("2", 'a, "b" c', "Kochi", "KL", at, end + "2"), ("3", "Short", "Kochi", None, None, None),
+        ("8", 'in "the" middle', "Kochi", "KL", at, end + "8"), tuple(TABLES["branches"].columns),
+        ("9", "café \x01", None, None, at, end + "9"),
+    ], key=lambda r: r)
+    damaged = sorted((r["damage"], r["fields"], r["line"], r["file"].endswith("a.csv")) for r in got.damaged.collect())
+    assert [d[0] for d in damaged] == ["Not UTF-8", "Too many fields", "Unbalanced quotes", "Unbalanced quotes"]
+    assert damaged[0][2].startswith("7,caf\ufffd,Kochi") and damaged[1][1:3] == (8, "4,Long,Kochi,KL,2020-01-01,HRB00004,x,y")
+    assert all(d[3] for d in damaged)
+    assert (got.delivered, got.short, got.damage) == (7, 1, {"Not UTF-8": 1, "Too many fields": 1, "Unbalanced quotes": 2})
+    assert got.lines == 11
+
+
+def test_files_of_other_headers_and_none(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="no.csv"):
+        files.ingest(spark, str(tmp_path / "no.csv"), str(tmp_path / "stored"))
+    folder = tmp_path / "two.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("x,y\n1,2\n")
+    (folder / "b.csv").write_text("y,x\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.ingest(spark, str(folder), str(tmp_path / "stored"))
+
+
+def test_a_run_over_ingested_files_equals_a_run_over_sound_ones(spark, tmp_path, raw_folder):
+    with open(raw_folder / "customers.csv", "a") as file:
+        file.write("one,two\n" + VALID["customers"].replace("1000", "1001", 1) + ",surplus\n")
+    plain, deliveries = Store(spark, str(tmp_path / "ingested")), {}
+    summaries = curate_all(plain, files.ingesting_reader(spark, str(raw_folder), str(tmp_path / "bronze2"), deliveries))
+    assert set(deliveries) == set(TABLES) and deliveries["customers"].damage == {"Too many fields": 1}
+    assert (summaries["customers"].total_records, summaries["customers"].bad_records) == (2, 1)
+    assert all(plain.curated(name).count() == 1 for name in TABLES)
+    assert all(d.lines == d.delivered for name, d in deliveries.items() if name != "customers")

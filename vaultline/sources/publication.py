@@ -1,26 +1,29 @@
 """Publication of all tables as one version.
 
-Every table is written to the folder of a new version and audited there. Only then one manifest
-record makes the version current. A failure at any earlier step leaves the old version
-current and untouched, and readers that opened the old version keep it.
+Every table is written to the folder of a new version and audited there. Only then one record of the
+commit log makes the version current. A failure at any earlier step leaves the old version
+current and untouched, and readers that opened the old version keep it. Of publishers that began
+from the same version the first to take the next number wins; the others are refused and what they wrote is removed.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
-from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaultline.operators.audit import findings
 from vaultline.operators.tables import TABLES
+from vaultline.sources import commits
+from vaultline.sources.commits import CommitLog
 
 MANIFEST_SCHEMA = T.StructType(
     [
+        T.StructField("number", T.LongType()),
+        T.StructField("base", T.LongType()),
         T.StructField("version", T.StringType()),
         T.StructField("tables", T.MapType(T.StringType(), T.LongType())),
     ]
@@ -36,16 +39,30 @@ def publish(
 ) -> str:
     """Write and audit all tables, then make them current together. Returns the version.
 
-    All findings of the audit are reported. A version that another one overtook while it was
-    written is refused: what is current when it is recorded must be what was when it began.
+    All findings of the audit are reported. The version's number is that of the one it began from and one more;
+    if another publisher took that number meanwhile, this one is refused. A version
+    that is refused, or fails, is removed.
     """
     absent = [name for name in expected if name not in tables]
     if absent:
         raise FileNotFoundError(f"not published, tables missing: {', '.join(absent)}")
     root = root.rstrip("/")
-    base = current_version(spark, root)
-    # Versions sort by the time they were begun; two that begin at once differ in their suffix.
-    version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    log = _log(spark, root)
+    base, version = log.last(), uuid.uuid4().hex
+    try:
+        counts = _staged(spark, root, version, tables, expected)
+        if log.commit(base, {"version": version, "tables": counts}) is None:
+            raise PublicationRefused(f"not published, another version followed number {base}")
+    except BaseException:
+        commits.remove(spark, f"{root}/versions/{version}")
+        raise
+    return version
+
+
+def _staged(
+    spark: SparkSession, root: str, version: str, tables: Mapping[str, DataFrame], expected: tuple[str, ...]
+) -> dict[str, int]:
+    """Write the tables of a version and audit them as they were written; rows per table."""
     for name in expected:
         tables[name].write.mode("errorifexists").parquet(_folder(root, version, name))
     staged = {
@@ -59,11 +76,11 @@ def publish(
     problems = [f"{r['audit']} {r['subject']}: {r['rows']} rows" for r in wrong.collect()]
     if problems:
         raise PublicationRefused("not published, " + "; ".join(problems))
-    if current_version(spark, root) != base:
-        raise PublicationRefused(f"not published, another version became current after {base or 'none'}")
-    record = spark.createDataFrame([(version, counts)], MANIFEST_SCHEMA)
-    record.coalesce(1).write.mode("append").json(f"{root}/manifest")
-    return version
+    return counts
+
+
+def _log(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, f"{root.rstrip('/')}/log")
 
 
 def _folder(root: str, version: str, name: str) -> str:
@@ -71,17 +88,17 @@ def _folder(root: str, version: str, name: str) -> str:
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
-    """Every published version and its row counts."""
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).json(f"{root.rstrip('/')}/manifest")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], MANIFEST_SCHEMA)
-        raise
+    """Every version that is kept: its number, the one it began from, and its row counts."""
+    log = _log(spark, root)
+    if not log.last():
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).json(log.folder)
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    return versions(spark, root).agg(F.max("version")).first()[0]
+    log = _log(spark, root)
+    number = log.last()
+    return log.read(number)["version"] if number else None
 
 
 def published(spark: SparkSession, root: str, name: str, version: str | None = None) -> DataFrame:
@@ -89,8 +106,25 @@ def published(spark: SparkSession, root: str, name: str, version: str | None = N
     version = version or current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"nothing published below {root}")
-    frame = spark.read.parquet(_folder(root.rstrip("/"), version, name))
-    return frame
+    return spark.read.parquet(_folder(root.rstrip("/"), version, name))
+
+
+def retire(spark: SparkSession, root: str, kept: int = 3) -> list[str]:
+    """Remove all but the last ``kept`` versions, their records first; which ones."""
+    root, log, gone = root.rstrip("/"), _log(spark, root), []
+    for number in log.numbers()[: -max(1, kept)]:
+        version = log.read(number)["version"]
+        log.forget(number)
+        commits.remove(spark, f"{root}/versions/{version}")
+        gone.append(version)
+    return gone
+
+
+def sweep(spark: SparkSession, root: str, older_than: float = 24 * 3600) -> list[str]:
+    """Remove versions without a record, left by publishers that were killed; younger ones may be in the making."""
+    log = _log(spark, root)
+    named = {log.read(number)["version"] for number in log.numbers()}
+    return commits.sweep(spark, f"{root.rstrip('/')}/versions", named, older_than)
 
 
 def publish_by_month(frame: DataFrame, date: str, path: str) -> None:

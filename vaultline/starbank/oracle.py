@@ -310,6 +310,39 @@ def _stages(rules) -> str:
     return f"concat_ws('; ', {', '.join(pieces)})"
 
 
+def _damaged_lines() -> str:
+    """Customers as faulty text lines: which are damaged, and the cells of the others."""
+    columns = RAW_COLUMNS["customers"]
+    fault = "CAST(phone AS BIGINT) % 37"
+    cells = [f"coalesce({c}, '')" for c in columns]
+    name = f"CASE {fault} WHEN 3 THEN '\"' || name WHEN 4 THEN chr(65533) || name ELSE name END"
+    line = "concat_ws(',', " + ", ".join(name if c == "name" else cell for c, cell in zip(columns, cells)) + ")"
+    shown = []
+    for at, c in enumerate(columns):
+        cell = f"CASE WHEN {fault} = 5 THEN 'a, \"b\" ' || name ELSE name END" if c == "name" else c
+        late = at >= 8
+        shown.append(f"CASE WHEN {fault} IN (1, 3, 4){f' OR {fault} = 2' if late else ''} THEN NULL ELSE {_csv_text(cell)} END AS {c}")
+    return f"""SELECT CASE {fault} WHEN 1 THEN 'Too many fields' WHEN 3 THEN 'Unbalanced quotes' WHEN 4 THEN 'Not UTF-8' END AS damage,
+        CAST(CASE {fault} WHEN 1 THEN {len(columns) + 2} WHEN 3 THEN {len(columns)} END AS INTEGER) AS fields,
+        CASE WHEN {fault} IN (3, 4) THEN {line} WHEN {fault} = 1 THEN {line} || ',extra,more' END AS line,
+        {", ".join(shown)} FROM raw_customers"""
+
+
+def _curate_damaged() -> str:
+    """Customers from the faulty lines, by what becomes of each line."""
+    columns, key = RAW_COLUMNS["customers"], KEYS["customers"][0]
+    fault = "CAST(phone AS BIGINT) % 37"
+    cells = [f"CASE WHEN {fault} = 2 THEN NULL ELSE {c} END AS {c}" if at >= 8 else c for at, c in enumerate(columns)]
+    same = f"coalesce(CAST({pk(key)} AS VARCHAR), 'text ' || nullif({strip(key)}, ''), 'missing')"
+    broken = " OR ".join(f"({r[2]})" for r in RULES["customers"])
+    return f"""WITH delivered AS (SELECT {", ".join(cells)} FROM raw_customers WHERE {fault} NOT IN (1, 3, 4)),
+        judged AS (SELECT {broken} AS bad FROM (SELECT *, count(*) OVER (PARTITION BY {same}) AS copies FROM delivered))
+        SELECT 'curated' AS outcome, count(*) FILTER (NOT bad) AS n FROM judged
+        UNION ALL SELECT 'quarantine', count(*) FILTER (bad) FROM judged
+        UNION ALL SELECT CASE {fault} WHEN 1 THEN 'Too many fields' WHEN 3 THEN 'Unbalanced quotes' ELSE 'Not UTF-8' END, count(*)
+        FROM raw_customers WHERE {fault} IN (1, 3, 4) GROUP BY ALL"""
+
+
 def _statements() -> dict[str, str]:
     """Common table expressions by name, in an order in which each uses earlier ones only."""
     found = {}
@@ -738,6 +771,8 @@ def _sources() -> dict[str, str]:
     skipped = [n for n in LAKE if n not in ("accounts", "transactions")]
     return {
         "a1_read_raw": read["customers"],
+        "a1_damaged_lines": _damaged_lines(),
+        "a1_curate_damaged": _curate_damaged(),
         "a2_read_large": read["transactions"],
         "a2_read_large_loan_payments": read["loan_payments"],
         "a2_read_large_card_transactions": read["card_transactions"],

@@ -185,6 +185,49 @@ def _read_raw(name: str):
     return run
 
 
+def _faulty_lines(raw: DataFrame) -> DataFrame:
+    """Customers as lines of text; the phone number decides which lines are faulty, and how."""
+    cell = {c: F.coalesce(F.col(c), F.lit("")) for c in raw.columns}
+    fault = F.col("phone").cast("long") % 37
+    quoted = F.concat(F.lit('"a, ""b"" '), cell["name"], F.lit('"'))
+    name = F.when(fault == 3, F.concat(F.lit('"'), cell["name"])).when(fault == 5, quoted).otherwise(cell["name"])
+    name = F.when(fault == 4, F.concat(F.unhex(F.lit("FF")).cast("string"), name)).otherwise(name)
+    whole = F.concat_ws(",", *[name if c == "name" else cell[c] for c in raw.columns])
+    short = F.concat_ws(",", *[cell[c] for c in raw.columns[:8]])
+    return raw.select(F.when(fault == 1, F.concat(whole, F.lit(",extra,more"))).when(fault == 2, short).otherwise(whole).alias("line"))
+
+
+def _deliver_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Write lines byte for byte, a header before those of each file."""
+    text = F.decode(F.col("line").cast("binary"), "ISO-8859-1").alias(header)
+    options = {"header": True, "sep": "\x01", "quote": "", "encoding": "ISO-8859-1",
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.select(text).write.options(**options).csv(path)
+
+
+def damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers delivered as text with faulty lines and ingested: every line, as cells or as damaged text."""
+    raw, root = raw_table(spark, folder, "customers"), new_folder(spark, "delivered")
+    _deliver_lines(_faulty_lines(raw), ",".join(raw.columns), f"{root}/customers.csv")
+    delivery = files.ingest(spark, f"{root}/customers.csv", f"{root}/ingested")
+    none = lambda name: F.lit(None).cast("string").alias(name)
+    sound = delivery.rows.select(
+        none("damage"), F.lit(None).cast("int").alias("fields"), none("line"), *[C.strip(F.col(c)).alias(c) for c in raw.columns]
+    )
+    return sound.unionByName(delivery.damaged.select("damage", "fields", "line", *[none(c) for c in raw.columns]))
+
+
+def _curate_delivered(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers from such lines, curated: lines by what became of them."""
+    raw, root = raw_table(spark, folder, "customers"), new_folder(spark, "delivered")
+    _deliver_lines(_faulty_lines(raw), ",".join(raw.columns), f"{root}/customers.csv")
+    store, deliveries = Store(spark, f"{root}/store"), {}
+    curate_all(store, files.ingesting_reader(spark, root, f"{root}/ingested", deliveries), ("customers",))
+    state = store.snapshot("customers")
+    counts = {"curated": state.good, "quarantine": state.bad, **deliveries["customers"].damage}
+    return spark.createDataFrame([(k, n) for k, n in counts.items()], "outcome string, n long")
+
+
 def lake_curation(spark: SparkSession, folder: str) -> DataFrame:
     """CSV files through the lake job; rows per table and zone."""
     root = _csv_copy(spark, folder, LAKE_TABLES)
@@ -402,6 +445,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found["l11_curate_all"] = curate_everything
 
     found["a1_read_raw"] = _read_raw("customers")
+    found["a1_damaged_lines"] = damaged_lines
+    found["a1_curate_damaged"] = _curate_delivered
     for name in ("transactions", "loan_payments", "card_transactions"):
         found["a2_read_large" if name == "transactions" else f"a2_read_large_{name}"] = _read_raw(name)
     found["a3_read_parent_keys"] = _on_bank(lambda bank: bank["accounts"].select("account_id"))
