@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,20 +40,29 @@ def gallop(short: list[int], long: list[int]) -> list[int]:
 
     Both rise strictly, and the last end of ``long`` is not smaller than that of ``short``.
     """
-    found, at, size = [], 0, len(long)
+    found: list[int] = []
+    add, at, size = found.append, 0, len(long)
     for end in short:
         if long[at] < end:
-            low, step = at + 1, 1
-            at += 1
-            while at < size and long[at] < end:
-                low = at + 1
-                step += step
+            at += 1  # an end that is not smaller follows, so this place is there
+            if long[at] < end:
+                low, step = at + 1, 2
                 at += step
-            at = bisect_left(long, end, low, min(at, size))
-        found.append(at)
+                while at < size and long[at] < end:
+                    low = at + 1
+                    step += step
+                    at += step
+                at = bisect_left(long, end, low, min(at, size))
+        add(at)
     return found
 
 
+@cache
+def _written(ids: int, last: str) -> np.ndarray:
+    """Each id as text, first with a comma behind it, then with what ends a group's list."""
+    return np.array([f"{at}{sign}" for at in range(ids) for sign in (",", last)], dtype=object)
+
+
 class Alignment:
     """The tokens of one text by both tokenizers, their groups and their links."""
 
@@ -81,12 +91,21 @@ class Alignment:
         """The id pair of each link as one number, ``a * size_b + b``."""
         return self.ids_a[self.at_a].astype(np.int64) * size_b + self.ids_b[self.at_b]
 
-    def groups(self) -> Iterator[tuple[list[int], list[int]]]:
-        """The ids of each group, of both tokenizers."""
-        a = b = 0
-        for more_a, more_b in zip(self.sizes_a.tolist(), self.sizes_b.tolist()):
-            yield self.ids_a[a : a + more_a].tolist(), self.ids_b[b : b + more_b].tolist()
-            a, b = a + more_a, b + more_b
+    def text(self) -> str:
+        """The ids of all groups: ``a1,a2|b1;a3|b2,b3``."""
+        if not len(self.sizes_a):
+            return ""
+        said = np.empty(len(self.ids_a) + len(self.ids_b), dtype=object)
+        stops_a, stops_b = np.cumsum(self.sizes_a), np.cumsum(self.sizes_b)
+        for ids, sizes, stops, before, last in (
+            (self.ids_a, self.sizes_a, stops_a, stops_b - self.sizes_b, "|"),
+            (self.ids_b, self.sizes_b, stops_b, stops_a, ";"),
+        ):
+            ends = np.zeros(len(ids), dtype=np.int64)
+            ends[stops - 1] = 1
+            room = 1 << (int(ids.max()) + 1).bit_length()
+            said[np.arange(len(ids)) + np.repeat(before, sizes)] = _written(room, last)[2 * ids + ends]
+        return "".join(said.tolist())[:-1]
 
 
 class Aligner:

@@ -115,10 +115,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def groups_digest(aligned: alignment.Alignment) -> str:
     """SHA-256 of the groups' ids as text, empty where there are none."""
-    if not len(aligned.sizes_a):
-        return ""
-    listed = lambda ids: ",".join(map(str, ids))
-    return hashlib.sha256(";".join([f"{listed(a)}|{listed(b)}" for a, b in aligned.groups()]).encode()).hexdigest()
+    text = aligned.text()
+    return hashlib.sha256(text.encode()).hexdigest() if text else ""
 
 
 def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
