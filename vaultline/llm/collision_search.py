@@ -20,7 +20,8 @@ from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,15 +118,17 @@ def nearest(
     """``query_id``, ``rank`` from 1, ``vec_id`` and ``score`` of each query's k nearest vectors found.
 
     Nearest is the largest inner product of the vectors as given, in double precision; ties go
-    to the smaller id. A vector is never found by a query of its own id. Vectors that are null,
+    to the smaller id, a missing one first. A vector is never found by a query of its own id, nor one without an id by a query without. Vectors that are null,
     empty, zero or hold a null or non-finite component take no part, neither do queries; vectors of
     different lengths don't meet. A query with fewer than k others gets all of them. A repeated
     id is searched once, with the first of its vectors in order of their components, and found as
     often as it occurs. No vectors or no queries give no rows.
     """
-    base = keep(_usable(vectors, vec_id, embedding).withColumn("size", F.size("embedding")), "vectors")
+    # blocks are dealt by a position written with the row: rows of one id, or of none, are spread as all others
+    base = _usable(vectors, vec_id, embedding).withColumn("size", F.size("embedding"))
+    base = keep(base.withColumn("position", F.monotonically_increasing_id()), "vectors")
     asked = _usable(queries, vec_id, embedding).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    asked = keep(asked.withColumn("size", F.size("embedding")), "queries")
+    asked = keep(asked.withColumns({"size": F.size("embedding"), "position": F.monotonically_increasing_id()}), "queries")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
     many, greatest = base.agg(F.count("*"), F.max(norm)).first()
     n_blocks = max(1, ceil(many / BLOCK_ROWS))
@@ -133,27 +136,34 @@ def nearest(
     greatest = float(greatest or 1.0)
 
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    of = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
+    of = lambda n, salt: F.pmod(F.xxhash64("position", F.lit(salt)), F.lit(n)).cast("int")
     left = base.select("size", of(n_blocks, 1).alias("block"), spread(n_parts).alias("part"), "vec_id", "embedding")
     right = asked.select("size", spread(n_blocks).alias("block"), of(n_parts, 2).alias("part"), "vec_id", "embedding")
 
-    def search(rows: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+    def matrix(rows: pa.Table) -> np.ndarray:
+        values = pc.list_flatten(rows.column("embedding")).to_numpy()
+        return values.reshape(len(rows), -1)
+
+    def search(rows: pa.Table, wanted: pa.Table) -> pa.Table:
+        names, kinds = ("query_id", "vec_id", "score"), (pa.int64(), pa.int64(), pa.float64())
         if not len(rows) or not len(wanted):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        block = np.stack(rows["embedding"].to_numpy()).astype(float)
-        ids = rows["vec_id"].to_numpy()
-        asked_ids = wanted["vec_id"].to_numpy()
+            return pa.table({name: pa.array([], kind) for name, kind in zip(names, kinds)})
+        block, ids, asked_ids = matrix(rows), rows.column("vec_id"), wanted.column("vec_id").to_pylist()
         place = {x: at for at, x in enumerate(asked_ids)}
-        skip = np.array([place.get(x, -1) for x in ids])
-        found = _search(np.stack(wanted["embedding"].to_numpy()).astype(float), block, k, greatest, skip)
-        out = []
-        for query, (at, scores) in zip(asked_ids, found):
-            best = np.lexsort((ids[at], -scores))[:k]
-            out.append(pd.DataFrame({"query_id": query, "vec_id": ids[at][best], "score": scores[best]}))
-        return pd.concat(out)
+        skip = np.array([place.get(x, -1) for x in ids.to_pylist()])
+        order = pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+        found, which, scores = [], [], []
+        for query, (at, near) in enumerate(_search(matrix(wanted), block, k, greatest, skip)):
+            best = np.lexsort((order[at], -near))[:k]
+            found.append(at[best])
+            which.append(np.full(len(best), query))
+            scores.append(near[best])
+        # ids are taken by their places, as they are: a missing one stays missing, none becomes a float
+        taken = ids.take(pa.array(np.concatenate(found))), wanted.column("vec_id").take(pa.array(np.concatenate(which)))
+        return pa.table({"query_id": taken[1], "vec_id": taken[0], "score": pa.array(np.concatenate(scores), pa.float64())})
 
     keys = ["size", "block", "part"]
-    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")
+    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
     # Spark keeps the first k of a query in every task before it brings them together.
     nearest_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
