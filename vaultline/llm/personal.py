@@ -10,6 +10,7 @@ of votes and kinds, which judges the candidates. Sure spans always stay.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -61,20 +62,69 @@ LABELERS = ("format", "valid", "gazetteer", "context", "border")
 _SPAN = "array<struct<kind:int,start:bigint,stop:bigint,match:string>>"
 
 
+#: A text is cut into parts of so many characters, so that places in it are reached without counting from its start.
+PART = 1024
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it, in lambdas too."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _scan(rows: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """What ``step`` gives for each row, in order; it takes a number (first 0) and a row, and gives the next
+    number and an array (of type ``kind``) of what this row adds.
+
+    Rows go in blocks of about the square root of their number, as adding to an array copies it.
+    """
+    none, zero = F.array().cast(kind), F.lit(0).cast("long")
+
+    def blocks(rows: Column) -> Column:
+        side = F.ceil(F.sqrt(F.size(rows))).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / side).cast("int")), lambda b: F.slice(rows, b * side + 1, side))
+
+    def within(s: Column, row: Column) -> Column:
+        at, more = step(s["at"], row)
+        return F.struct(at.cast("long").alias("at"), F.concat(s["out"], more).alias("out"))
+
+    def over(s: Column, block: Column) -> Column:
+        done = F.aggregate(block, F.struct(s["at"].alias("at"), none.alias("out")), within)
+        return _let(done, lambda r: F.struct(r["at"].alias("at"), F.concat(s["out"], F.array(r["out"])).alias("out")))
+
+    start = F.struct(zero.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    return _let(
+        rows, lambda r: F.when(F.size(r) == 0, none).otherwise(F.flatten(F.aggregate(blocks(r), start, over, lambda s: s["out"])))
+    )
+
+
+def _parts(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))
+
+
+def _cut(parts: Column, start: Column, stop: Column) -> Column:
+    """The characters from ``start`` to ``stop`` of a text in parts."""
+    first = F.floor(start / PART).cast("int")
+    near = F.array_join(F.slice(parts, first + 1, F.floor(stop / PART).cast("int") - first + 1), "")
+    return F.substring(near, (start - first * PART + 1).cast("int"), (stop - start).cast("int"))
+
+
 def _all(text: Column, pattern: str, kind: int, needs: str | None) -> Column:
     """All matches with their places in code points, from the gaps between them."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).alias("i"), F.array().cast(_SPAN).alias("found"))
+    none = F.array().cast(_SPAN)
+
+    def step(at: Column, row: Column) -> tuple[Column, Column]:
+        start = at + row["gap"]
+        stop = start + F.length(row["match"])
+        one = F.struct(F.lit(kind).alias("kind"), start.alias("start"), stop.alias("stop"), row["match"].alias("match"))
+        return stop, F.array(one)
 
-    def step(s: Column, match: Column) -> Column:
-        start = s["at"] + F.length(F.get(gaps, s["i"]))
-        stop = start + F.length(match)
-        one = F.struct(F.lit(kind).alias("kind"), start.alias("start"), stop.alias("stop"), match.alias("match"))
-        return F.struct(stop.alias("at"), (s["i"] + 1).alias("i"), F.concat(s["found"], F.array(one)).alias("found"))
+    def placed(matches: Column) -> Column:
+        gaps = F.slice(F.transform(F.split(text, pattern, -1), F.length), F.lit(1), F.size(matches))
+        rows = F.zip_with(gaps, matches, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
+        return F.when(F.size(matches) == 0, none).otherwise(_scan(rows, _SPAN, step))
 
-    found = F.aggregate(matches, state, step, lambda s: s["found"])
-    return found if needs is None else F.when(F.regexp_like(text, F.lit(needs)), found).otherwise(F.array().cast(_SPAN))
+    found = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+    return found if needs is None else F.when(F.regexp_like(text, F.lit(needs)), found).otherwise(none)
 
 
 def _digits(match: Column) -> Column:
@@ -95,11 +145,11 @@ def _holds(span: Column) -> Column:
     )
 
 
-def _votes(span: Column, text: Column, sure: bool) -> Column:
+def _votes(span: Column, parts: Column, sure: bool) -> Column:
     """One for, minus one against, zero for no opinion; in the order of ``LABELERS``."""
     digits, match, kind = _digits(span["match"]), span["match"], span["kind"]
-    before = F.substring(text, F.greatest(span["start"] + 1 - BEFORE, F.lit(1)).cast("int"), F.least(span["start"], F.lit(BEFORE)).cast("int"))
-    after = F.substring(text, (span["stop"] + 1).cast("int"), F.lit(1))
+    before = _cut(parts, F.greatest(span["start"] - BEFORE, F.lit(0)), span["start"])
+    after = _cut(parts, span["stop"], span["stop"] + 1)
     cue = F.lit(False)
     for at, name in enumerate(KINDS):
         cue = F.when(kind == at, F.regexp_like(before, F.lit(CUES[name]))).otherwise(cue)
@@ -135,22 +185,47 @@ def spans_of(documents: DataFrame, *more: Column) -> DataFrame:
     sure = F.concat(*[F.filter(_all(text, SURE[k], at, _need(NEEDS.get(k))), _holds) for at, k in enumerate(KINDS)])
     wide = F.concat(*[_all(text, WIDE[k], at, WIDE_NEEDS[k]) for at, k in enumerate(KINDS)])
     names = [name for name in rows.columns if name not in ("doc_id", "text")]
-    free = lambda x: ~F.exists("sure", lambda y: (x["start"] < y["stop"]) & (y["start"] < x["stop"]))
-    vote = lambda is_sure: lambda x: F.struct(
-        x["kind"].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"), _votes(x, text, is_sure).alias("votes")
-    )
+
+    def voted(name: str, is_sure: bool) -> Column:
+        one = lambda parts: lambda x: F.struct(
+            x["kind"].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"), _votes(x, parts, is_sure).alias("votes")
+        )
+        none = F.array().cast("array<struct<kind:int,start:bigint,stop:bigint,votes:array<int>>>")
+        return F.when(F.size(name) == 0, none).otherwise(_let(_parts(text), lambda parts: F.transform(name, one(parts))))
+
     return (
         rows.select("doc_id", "text", *names, sure.alias("sure"), wide.alias("wide"))
-        .withColumn("wide", F.filter("wide", free))
-        .select(
-            "doc_id",
-            *names,
-            F.transform("sure", vote(True)).alias("sure"),
-            F.transform("wide", vote(False)).alias("wide"),
-        )
+        .withColumn("wide", F.when(F.size("wide") == 0, F.col("wide")).otherwise(_apart(_free(F.col("wide"), F.col("sure")))))
+        .select("doc_id", *names, voted("sure", True).alias("sure"), voted("wide", False).alias("wide"))
     )
 
 
+def _free(wide: Column, sure: Column) -> Column:
+    """The wide spans that touch no sure one."""
+    ordered = F.array_sort(F.transform(sure, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"))))
+
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        apart, more = F.greatest(x["start"] - at, F.lit(0)), F.greatest(x["stop"] - F.greatest(at, x["start"]), F.lit(0))
+        return F.greatest(at, x["stop"]), F.array(F.concat(F.repeat(F.lit(" "), apart.cast("int")), F.repeat(F.lit("x"), more.cast("int"))))
+
+    mask = F.array_join(_scan(ordered, "array<string>", step), "")  # an x for each character of a sure span
+    covered = lambda parts, x: F.contains(_cut(parts, x["start"], x["stop"]), F.lit("x"))
+    return _let(_parts(mask), lambda parts: F.filter(wide, lambda x: ~covered(parts, x)))
+
+
+def _apart(wide: Column) -> Column:
+    """The spans without those that touch one left before them, in order of kind and start."""
+    fields = ("kind", "start", "stop", "match")
+    by_place = F.array_sort(F.transform(wide, lambda x: F.struct(*[x[f].alias(f) for f in ("start", "kind", "stop", "match")])))
+
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        free = x["start"] >= at
+        one = F.array(F.struct(*[x[f].alias(f) for f in fields]))
+        return F.when(free, x["stop"]).otherwise(at), F.when(free, one).otherwise(F.array().cast(_SPAN))
+
+    return F.array_sort(_scan(by_place, _SPAN, step))
+
+
 def _need(char: str | None) -> str | None:
     return None if char is None else f"\\Q{char}\\E"
 
@@ -247,7 +322,7 @@ def find(documents: DataFrame, *more: Column, least: float = 0.5) -> DataFrame:
     """``doc_id``, the given columns, ``sure`` and ``spans`` (sure and accepted ones, by kind and start).
 
     Null and empty texts have none. Repeated rows have theirs each; no rows give none. A document's
-    work grows with the square of its number of matches (not of its length).
+    work grows with its length and with the power 1.5 of its number of matches.
     """
     found = keep(spans_of(documents, *more), "spans")
     verdict = judge(found)
@@ -277,17 +352,16 @@ def redacted(text: Column, spans: Column) -> Column:
     ordered = F.array_sort(
         F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["kind"].alias("kind")))
     )
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
-    put = lambda s, x: F.concat(
-        F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")), F.element_at(kinds, x["kind"] + 1)
-    )
-    return F.aggregate(
-        ordered,
-        state,
-        lambda s, x: F.when(
-            x["start"] < s["at"], F.struct(F.greatest(s["at"], x["stop"]).alias("at"), s["parts"].alias("parts"))
-        ).otherwise(
-            F.struct(x["stop"].alias("at"), F.concat(s["parts"], F.array(put(s, x))).alias("parts"))
-        ),
-        lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(text, (s["at"] + 1).cast("int"), F.length(text))),
-    )
+    # one more span, without length, brings the end of the text
+    ended = F.concat(ordered, F.array(F.struct(F.length(text).cast("long").alias("start"), F.length(text).cast("long").alias("stop"),
+                                               F.lit(-1).alias("kind"))))
+
+    def put(parts: Column) -> Column:
+        def step(at: Column, x: Column) -> tuple[Column, Column]:
+            name = F.when(x["kind"] < 0, "").otherwise(F.element_at(kinds, F.greatest(x["kind"], F.lit(0)) + 1))
+            piece = F.array(F.concat(_cut(parts, at, x["start"]), name))
+            return F.greatest(at, x["stop"]), F.when(x["start"] >= at, piece).otherwise(F.array().cast("array<string>"))
+
+        return F.array_join(_scan(ended, "array<string>", step), "")
+
+    return _let(_parts(text), put)
