@@ -1,5 +1,7 @@
 """Key probes: broadcast and shuffle give the same answer, also with hot and missing keys."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +82,23 @@ def test_large_parents_send_orphans_to_rows(spark, setting):
 
 def test_long_textual_keys_are_not_broadcast(spark):
     assert not K.KeySet(spark.range(3), 3, K.MAX_BROADCAST_TEXT + 1).fits()
+
+
+def test_beyond_every_bound_shuffles_carry_no_readings(spark, setting):
+    """Where rows are shuffled they are raw text, row id, keys and flags; numbers, dates and stripped texts are read afterwards."""
+    setting(K.MAX_BROADCAST_KEYS_SETTING, "0")
+    setting("spark.sql.adaptive.enabled", "false")
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.maxMetadataStringLength", "10000")
+    setting("spark.sql.debug.maxToStringFields", "1000")
+    rows = [valid_row("cards", card_id=str(3000 + i // 2), customer_id=str(1000 + i % 2)) for i in range(6)]
+    parents = {"customers": key_set(spark, 1000), "accounts": key_set(spark, 10000)}
+    frame = curation.judged(raw_frame(spark, "cards", rows), TABLES["cards"], parents)
+    described = frame._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    exchanges = [part for part in described.split("\n\n") if re.match(r"\(\d+\) Exchange", part)]
+    carried = [name for part in exchanges for name in re.findall(r"([a-z_]+)#\d+", part.split("Arguments")[0])]
+    assert "raw_card_type" in carried and "key_customer_id" in carried
+    assert not [name for name in carried if name.startswith(("text_", "num_", "time_"))]
+    assert frame.where("is_bad").count() == 6

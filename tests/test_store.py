@@ -138,6 +138,9 @@ def test_jdbc_options():
     assert options["partitionColumn"] == "account_id" and options["numPartitions"] == "8"
     with pytest.raises(ValueError):
         jdbc.jdbc_options("jdbc:postgresql://h/db", "accounts", "u", "")
+    with pytest.raises(ValueError, match="bounds"):
+        jdbc.jdbc_options("jdbc:postgresql://h/db", "accounts", "u", "p", "account_id", partitions=8)
+    assert "numPartitions" not in jdbc.jdbc_options("jdbc:postgresql://h/db", "accounts", "u", "p")
 
 
 def branches(spark, *ids):

@@ -1,10 +1,11 @@
 """Flags, routes, windows, late events and replays."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from vaultline.sources.commits import CommitLog
 from vaultline.streaming import events as E
 
 AT = datetime(2024, 1, 1, 12, 0, 0)
@@ -55,7 +56,7 @@ def test_routes(spark, tmp_path, source):
 
 
 def minute(n, second=0):
-    return datetime(2024, 1, 1, 12 + n // 60, n % 60, second)
+    return datetime(2024, 1, 1, 12 + n // 60, n % 60) + timedelta(seconds=second)
 
 
 @pytest.mark.parametrize("fold_every", [100, 2, 1])
@@ -71,12 +72,70 @@ def test_windows_as_stream_equal_windows_as_batch(spark, tmp_path, source, fold_
     got = E.read_updates(spark, path, windows.schema, keys).orderBy(*keys).collect()
     want = E.sliding(spark.read.parquet(source.path)).orderBy(*keys).collect()
     assert got == want and len(want) > 30
-    generations = sorted((tmp_path / "windows").glob("generation=*"))
     # three files, and a micro-batch without events behind them
-    assert len(generations) == {100: 1, 2: 2, 1: 4}[fold_every]
-    for old in generations[:-1]:  # what came before the last generation is not needed
-        old.rename(tmp_path / f"unread-{old.name}")
-    assert E.read_updates(spark, path, windows.schema, keys).orderBy(*keys).collect() == want
+    log = CommitLog(spark, f"{path}/log")
+    assert log.last() == 4 and len(log.read(4)["batches"]) == {100: 4, 2: 2, 1: 1}[fold_every]
+
+
+def test_a_reader_sees_whole_micro_batches_only(spark, tmp_path, source, monkeypatch):
+    """The state before, while a fold is half written; the state after, once it is recorded; old folders go."""
+    path, check, keys = str(tmp_path / "windows"), str(tmp_path / "check"), ["window_start", "window_end", "channel"]
+    seen, real = [], CommitLog.commit
+
+    def run(fail=False):
+        windows = E.tumbling(E.read_stream(spark, source.path, E.EVENT_SCHEMA), late="1 hour")
+
+        def recorded(log, base, record):
+            if log.folder.startswith(path):
+                seen.append((base, E.read_updates(spark, path, windows.schema, keys).groupBy().sum("events").first()[0]))
+                if fail:
+                    raise RuntimeError("killed")
+            return real(log, base, record)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(CommitLog, "commit", recorded)
+            query = E.update_sink(windows, path, check, keys, fold_every=2, kept=2)
+            try:
+                query.awaitTermination()
+            except Exception:  # noqa: BLE001
+                assert fail
+        return E.read_updates(spark, path, windows.schema, keys).groupBy().sum("events").first()[0]
+
+    source([(1, 1, 1.0, "UPI", "t", minute(1)), (2, 1, 1.0, "ATM", "t", minute(2))])
+    assert run() == 2
+    for n in range(3, 6):
+        source([(n, 1, 1.0, "UPI", "t", minute(n))])
+        if n == 4:  # dies with its folder written and no record: the state before stays
+            assert run(fail=True) == n - 1
+        assert run() == n
+    before = [total for _, total in seen]
+    assert before == sorted(before, key=lambda x: x or 0) and None in before and 2 in before
+    folders = {int(p.name.partition("=")[2]) for p in (tmp_path / "windows" / "data").glob("batch=*")}
+    log = CommitLog(spark, f"{path}/log")
+    assert len(log.numbers()) == 2 and {b for n in log.numbers() for b in log.read(n)["batches"]} == folders
+
+
+def test_bursts_by_gaps(spark, tmp_path, source):
+    rows = [(i, 1, 10.0, "UPI", "t", minute(0, 50 * i)) for i in range(8)]  # 0:00 to 5:50, longer than one gap
+    rows += [(20, 1, 1.0, "UPI", "t", minute(12)), (21, 2, 5.0, "UPI", "t", minute(0)), (22, 2, 5.0, "UPI", "t", minute(4, 59)),
+             (23, 3, 1.0, "UPI", "t", minute(0)), (24, 3, 1.0, "UPI", "t", minute(5, 1))]
+    want = {(1, 8, 80), (2, 2, 10)}
+    got = E.bursts(frame(spark, rows), 2)
+    assert {(r["account_id"], r["events"], int(r["amount"])) for r in got.collect()} == want
+    path, check = str(tmp_path / "bursts"), str(tmp_path / "check")
+
+    def stream():
+        found = E.bursts(E.read_stream(spark, source.path, E.EVENT_SCHEMA), 2)
+        E.append_sink(found, path, check).awaitTermination()
+        return sorted((r["account_id"], r["events"], int(r["amount"])) for r in spark.read.schema(found.schema).parquet(path).collect())
+
+    source(rows[:4] + rows[9:10])
+    assert stream() == []
+    source(rows[4:9] + rows[10:])
+    source([(99, 9, 1.0, "UPI", "t", minute(59))])
+    assert stream() == sorted(want)
+    source([(100, 1, 10.0, "UPI", "t", minute(6))])  # too late
+    assert stream() == sorted(want)
 
 
 def test_late_events_do_not_change_a_closed_window(spark, tmp_path, source):

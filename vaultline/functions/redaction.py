@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,15 +21,24 @@ DATABASE_URLS = (
     r"(postgresql://[^\s:]+:)([^@]+)(@)",
 )
 MASK = "[REDACTED]"
+#: A text that a pattern matches holds one of these, in upper or lower case.
+WORDS = ("password", "secret", "token", "api", "postgres")
 
 
 def redact(text: Column) -> Column:
-    """Mask credential values and database passwords wherever they stand in the text."""
+    """Mask credential values and database passwords wherever they stand in the text.
+
+    Texts without any word that a pattern needs are passed through, which is found out without a pattern.
+    """
+    # in upper, then in lower case: as patterns compare letters, with those that have a case form in common
+    folded = F.lower(F.upper(text))
+    may_match = reduce(or_, [F.contains(folded, F.lit(word)) for word in WORDS])
+    masked = text
     for pattern in CREDENTIALS:
-        text = F.regexp_replace(text, f"(?iU){pattern}", f"$1{MASK}")
+        masked = F.regexp_replace(masked, f"(?iU){pattern}", f"$1{MASK}")
     for pattern in DATABASE_URLS:
-        text = F.regexp_replace(text, f"(?iU){pattern}", f"$1{MASK}$3")
-    return text
+        masked = F.regexp_replace(masked, f"(?iU){pattern}", f"$1{MASK}$3")
+    return F.when(may_match, masked).otherwise(text)
 
 
 def mask_personal(customers: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timezone
 from functools import reduce
 from operator import or_
@@ -33,33 +34,47 @@ VIOLATIONS_TYPE = T.ArrayType(
 )
 
 
-def parsed(raw: DataFrame, table: Table) -> DataFrame:
-    """Raw text columns plus their stripped, numeric, key and time readings."""
+def _cells(raw: DataFrame, table: Table) -> DataFrame:
+    """The raw cells as text, and the row id."""
     needed = {table.key, *(c for rule in table.rules for c in rule.columns)}
     absent = sorted(needed - set(raw.columns))
     if absent:
         raise ValueError(f"{table.name}: raw columns missing: {', '.join(absent)}")
     present = set(raw.columns)
-    frame = raw.select(
+    return raw.select(
         *[
             (F.col(f.name).cast("string") if f.name in present else F.lit(None).cast("string")).alias(f"raw_{f.name}")
             for f in table.fields
         ],
         (F.col(ROW_ID) if ROW_ID in present else F.monotonically_increasing_id()).alias(ROW_ID),
     )
-    frame = frame.withColumns({f"text_{f.name}": C.strip(F.col(f"raw_{f.name}")) for f in table.fields})
-    frame = frame.withColumns(
-        {
-            f"num_{f.name}": C.parse_number(F.col(f"text_{f.name}"))
-            for f in table.fields
-            if f.kind in ("key", "number")
-        }
-    )
-    frame = frame.withColumns({name: value for f in table.fields for name, value in _read_as(f, table)})
-    times = [f"time_{f.name}" for f in table.fields if f.kind == "date"]
+
+
+def _with_readings(frame: DataFrame, table: Table, fields: Iterable[Field]) -> DataFrame:
+    """Add the stripped, numeric, key and time readings of fields, where they aren't there already."""
+    fields = tuple(fields)
+    frame = frame.withColumns({f"text_{f.name}": C.strip(F.col(f"raw_{f.name}")) for f in fields})
+    numbers = [f for f in fields if f.kind in ("key", "number")]
+    frame = frame.withColumns({f"num_{f.name}": C.parse_number(F.col(f"text_{f.name}")) for f in numbers})
+    present = set(frame.columns)
+    frame = frame.withColumns({name: value for f in fields for name, value in _read_as(f, table) if name not in present})
+    times = [f"time_{f.name}" for f in fields if f.kind == "date"]
     return frame.withColumns({time: C.in_time_span(F.col(time)) for time in times})
 
 
+def parsed(raw: DataFrame, table: Table) -> DataFrame:
+    """Raw text columns plus their stripped, numeric, key and time readings."""
+    return _with_readings(_cells(raw, table), table, table.fields)
+
+
+def keyed(raw: DataFrame, table: Table) -> DataFrame:
+    """Raw text columns and no more than the readings that key probes need, for these may be shuffled."""
+    names = {table.key, *(p.column for p in table.validated_parents)}
+    cells = _cells(raw, table)
+    frame = _with_readings(cells, table, [f for f in table.fields if f.name in names])
+    return frame.select(*cells.columns, *[f"key_{f.name}" for f in table.fields if f.name in names])
+
+
 def _read_as(f: Field, table: Table):
     text, number = F.col(f"text_{f.name}"), F.col(f"num_{f.name}")
     if f.kind == "key":
@@ -107,15 +122,17 @@ def standardise(frame: DataFrame, table: Table) -> DataFrame:
 
 def probe_keys(frame: DataFrame, table: Table, parents: dict[str, KeySet]) -> DataFrame:
     """Add the duplicate flag of the key and the orphan flag of every validated foreign key."""
-    key, source = f"key_{table.key}", frame
-    duplicates = find_duplicates(source, key, f"text_{table.key}")
+    key, text, source = f"key_{table.key}", "_key_text", frame
+    with_text = source.withColumn(text, C.strip(F.col(f"raw_{table.key}")))
+    duplicates = find_duplicates(with_text, key, text)
     frame = mark_members(frame, key, duplicates.numeric, "_repeats_number", source)
-    frame = mark_members(frame, f"text_{table.key}", duplicates.textual, "_repeats_text", source)
-    missing = C.is_blank(F.col(f"text_{table.key}")) & F.lit(duplicates.missing)
+    frame = frame.withColumn(text, C.strip(F.col(f"raw_{table.key}")))
+    frame = mark_members(frame, text, duplicates.textual, "_repeats_text", with_text)
+    missing = C.is_blank(F.col(text)) & F.lit(duplicates.missing)
     frame = frame.withColumn(
         R.IS_DUPLICATE,
         F.col("_repeats_number") | (F.col(key).isNull() & F.col("_repeats_text")) | missing,
-    ).drop("_repeats_number", "_repeats_text")
+    ).drop("_repeats_number", "_repeats_text", text)
     for parent in table.validated_parents:
         flag = R.is_orphan_name(parent.column)
         frame = mark_orphans(frame, f"key_{parent.column}", parents[parent.table], flag, source)
@@ -127,8 +144,11 @@ def _broken_name(position: int) -> str:
 
 
 def judged(raw: DataFrame, table: Table, parents: dict[str, KeySet]) -> DataFrame:
-    """Parsed rows with one boolean column per rule and ``is_bad``, their disjunction."""
-    frame = probe_keys(parsed(raw, table), table, parents)
+    """Parsed rows with one boolean column per rule and ``is_bad``, their disjunction.
+
+    Keys are probed first and the other columns parsed afterwards: a shuffle, if one is needed, carries raw text only.
+    """
+    frame = _with_readings(probe_keys(keyed(raw, table), table, parents), table, table.fields)
     frame = frame.withColumns({_broken_name(i): rule.broken_column() for i, rule in enumerate(table.rules)})
     return frame.withColumn(IS_BAD, reduce(or_, [F.col(_broken_name(i)) for i in range(len(table.rules))]))
 
@@ -170,19 +190,20 @@ def run_time() -> datetime:
 
 
 def validated(
-    raw: DataFrame, table: Table, parents: dict[str, KeySet], run_at: datetime | None = None
+    raw: DataFrame, table: Table, parents: dict[str, KeySet], run_at: datetime | None = None, keep_raw: bool = False
 ) -> DataFrame:
     """Every raw row once, either curated or quarantined.
 
     Good rows fill the curated columns, bad rows the ``raw_`` and audit columns; the other side
     is NULL, which costs next to nothing in a columnar file. One write partitioned by
-    ``is_bad`` then stores both results from a single execution of the plan.
+    ``is_bad`` then stores both results from a single execution of the plan. With ``keep_raw`` good rows
+    keep their raw columns too, so that they can be judged again.
     """
     frame, bad = judged(raw, table, parents), F.col(IS_BAD)
     stamp = F.lit((run_at or run_time()).strftime("%Y-%m-%d %H:%M:%S+00:00")).cast("timestamp")
     return frame.select(
         *[F.when(~bad, standard_value(f)).alias(f.name) for f in table.fields],
-        *[F.when(bad, F.col(f"raw_{f.name}")).alias(f"raw_{f.name}") for f in table.fields],
+        *[F.col(f"raw_{f.name}") if keep_raw else F.when(bad, F.col(f"raw_{f.name}")).alias(f"raw_{f.name}") for f in table.fields],
         F.when(bad, _reasons(table)).alias("rejection_reason"),
         F.when(bad, _stages(table)).alias("validation_stage"),
         F.when(bad, F.lit(f"process_{table.name}")).alias("pipeline_name"),

@@ -12,7 +12,8 @@ def latest_per_key(current: DataFrame, changes: DataFrame, key: str, order: list
     ``order`` has to tell the rows of a key apart; of equal ones any may stay.
 
     ``max_by`` keeps one row per key on the map side already, so a key with very many changes
-    reaches the shuffle as one row per task, not as a window partition of all its changes.
+    reaches the shuffle as one row per task, not as a window partition of all its changes. A struct is no fixed-size
+    value, so this aggregate sorts each task's rows by key; ``MergedTable`` gives it the touched ranges only.
     """
     rows = current.unionByName(changes)
     rest = [c for c in rows.columns if c != key]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -15,17 +15,18 @@ class Bank:
     """Gives tables and marts by name. Each mart is computed once, through ``materialise``.
 
     ``table`` gives a curated table; ``materialise`` stores a frame under a name and returns it
-    as a scan of what was stored. Without one, marts stay lazy plans.
+    as a scan of what was stored. Without one, marts stay lazy plans. ``given`` are tables or marts that are there already.
     """
 
     def __init__(
         self,
         table: Callable[[str], DataFrame],
         materialise: Callable[[DataFrame, str], DataFrame] | None = None,
+        given: Mapping[str, DataFrame] | None = None,
     ):
         self._table = table
         self._materialise = materialise or (lambda frame, _: frame)
-        self._known: dict[str, DataFrame] = {}
+        self._known: dict[str, DataFrame] = dict(given or {})
         self._lock = threading.RLock()
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -69,14 +69,18 @@ def _customer_month(bank) -> DataFrame:
     )
 
 
-def _card_month(bank) -> DataFrame:
-    per_card = (
+def card_month(bank) -> DataFrame:
+    """Card transactions per card and month."""
+    return (
         bank["card_transactions"]
         .groupBy("card_id", month_of(F.col("txn_date")).alias("month_year"))
         .agg(total("amount").alias("spend"), F.sum("is_fraud").alias("frauds"))
     )
+
+
+def _card_month(bank) -> DataFrame:
     return (
-        per_card.join(bank["cards"].select("card_id", "customer_id"), "card_id")
+        bank["card_month"].join(bank["cards"].select("card_id", "customer_id"), "card_id")
         .groupBy("customer_id", "month_year")
         .agg(total("spend").alias("total_card_spend"), F.sum("frauds").alias("card_fraud_count"))
     )
@@ -208,12 +212,13 @@ def customer_360(bank) -> DataFrame:
 
 MARTS = {
     "account_month": account_month,
+    "card_month": card_month,
     "monthly_customer_summary": monthly_customer_summary,
     "monthly_customer_summary_full": monthly_customer_summary_full,
     "monthly_branch_summary": monthly_branch_summary,
     "customer_360": customer_360,
 }
-PUBLIC_MARTS = tuple(name for name in MARTS if name != "account_month")
+PUBLIC_MARTS = tuple(name for name in MARTS if name not in ("account_month", "card_month"))
 
 
 def build_mart(bank, name: str, path: str) -> None:

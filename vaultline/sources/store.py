@@ -175,7 +175,7 @@ def curate_table(
     return RunSummary(f"process_{table.name}", started, curation.run_time(), good + bad, good, bad)
 
 
-def _waves(tables: Iterable[str]) -> Iterator[list[str]]:
+def waves(tables: Iterable[str]) -> Iterator[list[str]]:
     """The tables in groups; the parents of a table are in groups before its own."""
     left = [name for name in TABLES if name in set(tables)]
     while left:
@@ -219,7 +219,7 @@ def curate_all(
     in_thread = inheritable_thread_target(store.spark)
     try:
         with ThreadPoolExecutor(at_once) as pool:
-            for wave in _waves(tables):
+            for wave in waves(tables):
                 running = [pool.submit(in_thread(one), name) for name in wave]
                 wait(running)
                 for table in running:

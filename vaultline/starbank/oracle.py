@@ -101,6 +101,19 @@ KEYS = {
 }
 
 
+#: The tables whose curated keys each table needs.
+PARENTS = {
+    "employees": ("branches",),
+    "accounts": ("customers",),
+    "transactions": ("accounts",),
+    "loans": ("customers",),
+    "loan_payments": ("loans",),
+    "cards": ("customers", "accounts"),
+    "card_transactions": ("cards",),
+    "support_tickets": ("customers",),
+}
+
+
 def _identity(name: str):
     key, entity = KEYS[name]
     return [
@@ -335,12 +348,12 @@ def _curate_damaged() -> str:
     cells = [f"CASE WHEN {fault} = 2 THEN NULL ELSE {c} END AS {c}" if at >= 8 else c for at, c in enumerate(columns)]
     same = f"coalesce(CAST({pk(key)} AS VARCHAR), 'text ' || nullif({strip(key)}, ''), 'missing')"
     broken = " OR ".join(f"({r[2]})" for r in RULES["customers"])
-    return f"""WITH delivered AS (SELECT {", ".join(cells)} FROM raw_customers WHERE {fault} NOT IN (1, 3, 4)),
+    return f"""SELECT * FROM (WITH delivered AS (SELECT {", ".join(cells)} FROM raw_customers WHERE {fault} NOT IN (1, 3, 4)),
         judged AS (SELECT {broken} AS bad FROM (SELECT *, count(*) OVER (PARTITION BY {same}) AS copies FROM delivered))
         SELECT 'curated' AS outcome, count(*) FILTER (NOT bad) AS n FROM judged
         UNION ALL SELECT 'quarantine', count(*) FILTER (bad) FROM judged
         UNION ALL SELECT CASE {fault} WHEN 1 THEN 'Too many fields' WHEN 3 THEN 'Unbalanced quotes' ELSE 'Not UTF-8' END, count(*)
-        FROM raw_customers WHERE {fault} IN (1, 3, 4) GROUP BY ALL"""
+        FROM raw_customers WHERE {fault} IN (1, 3, 4) GROUP BY ALL)"""
 
 
 def _statements() -> dict[str, str]:
@@ -777,9 +790,17 @@ def _sources() -> dict[str, str]:
         "a2_read_large_loan_payments": read["loan_payments"],
         "a2_read_large_card_transactions": read["card_transactions"],
         "a3_read_parent_keys": "SELECT account_id FROM accounts",
+        "a4_require_parents": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, '{p}' AS parent, 'curated {p} needed before {name}' AS refusal, "
+            f"count(*) AS parent_keys, false AS written FROM {p}"
+            for name, parents in PARENTS.items()
+            for p in parents
+        ),
         "a5_write_curated_and_quarantine": _counts([("curated", "cards"), ("quarantine", "bad_cards")]),
         "a6_empty_output": f"""SELECT 'quarantine' AS zone, count(*) AS n, count(transaction_id) AS with_id
             FROM raw_transactions HAVING count(*) > 0""",
+        "a6_three_batches": """SELECT table_name, rejection_reason, validation_stage, count(*) AS n FROM rejected GROUP BY ALL
+            UNION ALL SELECT table_name, NULL, NULL, curated_records FROM verdicts""",
         "a7_skip_missing": _counts(
             [(f"silver/{n}", n) for n in skipped] + [(f"quarantine/{n}", f"bad_{n}") for n in skipped]
             + [("silver/transactions", "raw_transactions WHERE false"), ("quarantine/transactions", "raw_transactions")]
@@ -883,6 +904,12 @@ def _events() -> dict[str, str]:
             FROM events GROUP BY ALL""",
         "s2_sliding_5m": sliding("event_type", "channel"),
         "s3_velocity_alert": f"SELECT * FROM ({sliding('user_id', 'account_id')}) WHERE events >= {registry.VELOCITY_EVENTS}",
+        "s3_velocity_bursts": f"""SELECT user_id AS account_id, min(ts) AS burst_start, max(ts) AS burst_end, {sums}
+            FROM (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS burst FROM (
+              SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 5 MINUTE THEN 0
+                ELSE 1 END AS first FROM events))
+            GROUP BY user_id, burst HAVING count(*) >= {registry.VELOCITY_EVENTS} AND max(ts) + INTERVAL 5 MINUTE <=
+              (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)""",
         "s4_late_data": f"""SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
             time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end, event_type AS channel, {sums}
             FROM events GROUP BY ALL)
@@ -918,4 +945,11 @@ def oracle_sql() -> dict[str, str]:
     bodies["m3_customer_360"] = f"SELECT {C360_COLUMNS} FROM customer_360"
     for group in (_sources(), _reports(), _analytics(), _reads(), _events()):
         bodies.update(group)
+    for name, same in (
+        ("a15_additive_customer_months", "m1_monthly_customer_summary"),
+        ("a15_additive_branch_months", "m2_monthly_branch_summary"),
+        ("a15_additive_customer_360", "m3_customer_360"),
+        ("s6_copy_on_write_merge", "s6_incremental_merge"),
+    ):  # how a result was brought up to date doesn't show in it
+        bodies[name] = bodies[same]
     return {name: _with(body) for name, body in bodies.items()}

@@ -18,9 +18,12 @@ from vaultline.operators.merge import latest_per_key
 from vaultline.operators.tables import LAKE_TABLES, TABLES, with_parents
 from vaultline.plans import analytics, marts, reads
 from vaultline.plans.bank import Bank
+from vaultline.plans.rollups import FACTS, MonthlyFacts, Rollups
 from vaultline.sources import files, publication
+from vaultline.sources.incremental import IncrementalStore
+from vaultline.sources.merged import MergedTable
 from vaultline.sources.scratch import keep, new_folder
-from vaultline.sources.store import Store, curate_all, curate_table
+from vaultline.sources.store import Store, curate_all, curate_table, require_parents
 from vaultline.sources.summary import append_to_log, read_log, summaries_frame
 from vaultline.starbank.raw import base_table, raw_table
 from vaultline.streaming import events as E
@@ -262,6 +265,26 @@ def nothing_curated(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("zone").agg(F.count("*").alias("n"), F.count("transaction_id").alias("with_id"))
 
 
+def three_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """All raw tables dealt into three batches and applied one after the other: rows by table and verdict."""
+    store = IncrementalStore(spark, new_folder(spark, "incremental"), buckets=8)
+    for batch in range(3):
+        raw = {name: raw_table(spark, folder, name) for name in TABLES}
+        mine = {
+            name: frame.where(F.crc32(F.concat_ws("|", *frame.columns)) % 3 == batch) for name, frame in raw.items()
+        }
+        store.apply(batch + 1, mine)
+    found = []
+    for name in TABLES:
+        none = F.lit(None).cast("string")
+        good = store.curated(name).agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("table_name"), none.alias("rejection_reason"), none.alias("validation_stage"), "n"
+        )
+        bad = store.quarantine(name).groupBy("rejection_reason", "validation_stage").agg(F.count("*").alias("n"))
+        found += [good, bad.select(F.lit(name).alias("table_name"), "rejection_reason", "validation_stage", "n")]
+    return reports._union(found)
+
+
 def built_marts(spark: SparkSession, folder: str) -> DataFrame:
     """Every mart written to its folder, twice, and read back; rows per mart."""
     bank, root = star_bank(spark, folder).bank, new_folder(spark, "marts")
@@ -271,6 +294,24 @@ def built_marts(spark: SparkSession, folder: str) -> DataFrame:
     return audit.table_counts({name: spark.read.parquet(f"{root}/{name}") for name in marts.PUBLIC_MARTS})
 
 
+def refused_without_parents(spark: SparkSession, folder: str) -> DataFrame:
+    """For each table and parent: what curation says where the parent is absent, and how many of its keys are there otherwise."""
+    bank, found = star_bank(spark, folder), []
+    for name, table in TABLES.items():
+        parents = bank.keys(name)
+        require_parents(table, parents)
+        for parent, keys in parents.items():
+            present = {other: known for other, known in parents.items() if other != parent}
+            store = Store(spark, new_folder(spark, "curate"))
+            try:
+                curate_table(store, table, bank.raw(name), present)
+                said = None
+            except FileNotFoundError as error:
+                said = str(error)
+            found.append((name, parent, said, keys.rows, bool(store.snapshots(name))))
+    return spark.createDataFrame(found, "table_name string, parent string, refusal string, parent_keys long, written boolean")
+
+
 def curated_and_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Both outputs of cards, the table with most rules, written as plain folders and read back."""
     bank = star_bank(spark, folder)
@@ -343,8 +384,8 @@ def masked_customers(bank) -> DataFrame:
     return mask_personal(bank["customers"])
 
 
-def latest_balances(bank) -> DataFrame:
-    """Accounts merged with their transactions as changes: the latest movement of each account."""
+def _balances(bank) -> tuple[DataFrame, DataFrame]:
+    """Accounts, and their transactions as changes of them."""
     current = bank["accounts"].select(
         "account_id", F.col("open_date").alias("changed_on"), F.lit(0).cast("bigint").alias("change_id"),
         F.col("balance").cast("decimal(15,2)").alias("amount"),
@@ -352,7 +393,50 @@ def latest_balances(bank) -> DataFrame:
     changes = bank["transactions"].select(
         "account_id", F.col("txn_date").alias("changed_on"), F.col("transaction_id").alias("change_id"), "amount"
     )
-    return latest_per_key(current, changes, "account_id", ["changed_on", "change_id"])
+    return current, changes
+
+
+def latest_balances(bank) -> DataFrame:
+    """Accounts merged with their transactions: the latest movement of each account."""
+    return latest_per_key(*_balances(bank), "account_id", ["changed_on", "change_id"])
+
+
+def merged_balances(spark: SparkSession, folder: str) -> DataFrame:
+    """The same merge range by range: accounts, then their transactions in two merges, one of few accounts."""
+    bank = star_bank(spark, folder).bank
+    current, changes = _balances(bank)
+    table = MergedTable(spark, new_folder(spark, "merged"), current.schema, "account_id", ["changed_on", "change_id"], span=2000)
+    few = F.col("account_id") < 2000
+    for rows in (current, changes.where(~few), changes.where(few)):
+        table.merge(rows)
+    return _doubles(table.rows())
+
+
+def _additive(mart: Callable[[Bank], DataFrame]):
+    """A mart from rollups by month that were refreshed after half of the rows of some months came late."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        bank = star_bank(spark, folder)
+        facts = MonthlyFacts(spark, new_folder(spark, "facts"))
+        rollups = Rollups(spark, new_folder(spark, "rollups"), facts)
+        late = F.col("txn_date") >= F.lit(date(2000, 1, 1))
+        for name in FACTS:
+            rows = bank.curated(name)
+            facts.replace_months(name, rows.where(~late | (F.col(TABLES[name].key) % 2 == 0)))
+        rollups.refresh()
+        for name in FACTS:
+            facts.replace_months(name, bank.curated(name).where(late))
+        rollups.refresh()
+        return _doubles(mart(rollups.bank(bank.curated)))
+
+    return run
+
+
+def closed_bursts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bursts of each account in the event stream, those that the watermark has closed."""
+    found, path = E.bursts(_event_stream(spark, folder), VELOCITY_EVENTS), new_folder(spark, "bursts")
+    E.append_sink(found, path, new_folder(spark, "stream")).awaitTermination()
+    return _doubles(spark.read.schema(found.schema).parquet(path))
 
 
 def partitioned_publish(spark: SparkSession, folder: str) -> DataFrame:
@@ -450,8 +534,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in ("transactions", "loan_payments", "card_transactions"):
         found["a2_read_large" if name == "transactions" else f"a2_read_large_{name}"] = _read_raw(name)
     found["a3_read_parent_keys"] = _on_bank(lambda bank: bank["accounts"].select("account_id"))
+    found["a4_require_parents"] = refused_without_parents
     found["a5_write_curated_and_quarantine"] = curated_and_quarantine
     found["a6_empty_output"] = nothing_curated
+    found["a6_three_batches"] = three_batches
     found["a7_skip_missing"] = lake_without_accounts
     found["a9_lake_curation"] = lake_curation
     found["a10_staged_publish"] = staged_publish
@@ -463,6 +549,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found["a13_pk_audit_raw"] = lambda spark, folder: audit.pk_audit(_raw_standardised(spark, folder))
     found["a14_table_counts"] = lambda spark, folder: audit.table_counts(star_bank(spark, folder).bank.tables())
     found["a15_build_mart"] = built_marts
+    found["a15_additive_customer_months"] = _additive(marts.monthly_customer_summary)
+    found["a15_additive_branch_months"] = _additive(marts.monthly_branch_summary)
+    found["a15_additive_customer_360"] = _additive(marts.customer_360)
     found["a17_run_log"] = run_log
 
     found["e9_duplicate_keys"] = all_duplicates
@@ -511,7 +600,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found["s3_velocity_alert"] = _windows(lambda e: E.velocity_alerts(e, VELOCITY_EVENTS), ["account_id"])
     found["s4_late_data"] = late_events
     found["s5_event_dedup"] = replayed_events
+    found["s3_velocity_bursts"] = closed_bursts
     found["s6_incremental_merge"] = _on_bank(latest_balances)
+    found["s6_copy_on_write_merge"] = merged_balances
     found["s7_partitioned_publish"] = partitioned_publish
     found["s9_mask_pii"] = _on_bank(masked_customers)
     return found

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vaultline.sources import commits
+from vaultline.sources.commits import CommitLog
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("transaction_id", T.LongType()),
@@ -132,8 +135,32 @@ def append_sink(frame: DataFrame, path: str, checkpoint: str):
     )
 
 
+def bursts(events: DataFrame, min_events: int, gap: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
+    """One row per burst: events of one account of which each follows the one before within ``gap``.
+
+    ``burst_start`` and ``burst_end`` are those of the first and the last event. A stream gives a burst once, when the watermark has passed its
+    end by ``gap``; then its state is dropped. Late events of a burst that was given are not counted.
+    """
+    events = events.withWatermark("ts", late) if events.isStreaming else events
+    found = events.groupBy(F.session_window("ts", gap).alias("w"), "account_id").agg(
+        F.count("*").alias("events"),
+        F.sum(F.col("amount").cast("decimal(15,2)")).alias("amount"),
+        F.min("ts").alias("first"),
+        F.max("ts").alias("last"),
+    )
+    return found.where(F.col("events") >= min_events).select(
+        "account_id",
+        F.col("first").cast("timestamp_ntz").alias("burst_start"),
+        F.col("last").cast("timestamp_ntz").alias("burst_end"),
+        "events",
+        "amount",
+    )
+
+
 #: After so many micro-batches an update sink writes the current value of all keys anew.
 FOLD_EVERY = 100
+#: States of so many micro-batches before the last stay readable.
+KEPT_STATES = 10
 
 
 def _latest(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -143,27 +170,39 @@ def _latest(rows: DataFrame, keys: list[str]) -> DataFrame:
     return latest.select(*[F.col(f"v.{c}").alias(c) if c in values else F.col(c) for c in rows.columns if c != "batch"])
 
 
-def _generation(spark: SparkSession, path: str, schema: T.StructType, number: int) -> DataFrame:
-    """The rows written in one generation of an update sink, with the ``batch`` that wrote them."""
+def _written(spark: SparkSession, path: str, schema: T.StructType, batches: list[int]) -> DataFrame:
+    """The rows of micro-batches, with the ``batch`` that wrote them."""
     full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(full).parquet(f"{path}/generation={number}")
+    if not batches:
+        return spark.createDataFrame([], full)
+    folders = [f"{path}/data/batch={number}" for number in batches]
+    return spark.read.schema(full).option("basePath", f"{path}/data").parquet(*folders)
 
 
-def update_sink(frame: DataFrame, path: str, checkpoint: str, keys: list[str], fold_every: int = FOLD_EVERY):
-    """Changed result rows of each micro-batch to a folder of its own.
+def update_sink(
+    frame: DataFrame, path: str, checkpoint: str, keys: list[str], fold_every: int = FOLD_EVERY, kept: int = KEPT_STATES
+):
+    """Changed result rows of each micro-batch to a folder of its own, and a record of which folders count.
 
-    A micro-batch that runs again replaces its folder, so a replay adds nothing. Every
-    ``fold_every``-th micro-batch begins a generation: it holds the current value of all keys, and
-    older generations are not read again and may be removed. ``fold_every`` stays as it is for a path.
+    A record is written when its micro-batch is, so a reader never meets half of one; a micro-batch that runs again
+    after its record is skipped, one without a record replaces its folder. Every ``fold_every``-th writes the current value of all keys, and its
+    record names that folder alone. Folders that none of the last ``kept`` records names are removed.
     """
-    schema = frame.schema
+    schema, path = frame.schema, path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        number, within = divmod(batch_id, fold_every)
-        if number and not within:
-            before = _generation(batch.sparkSession, path, schema, number - 1)
-            batch = _latest(before.unionByName(batch.withColumn("batch", F.lit(batch_id))), keys)
-        batch.write.mode("overwrite").parquet(f"{path}/generation={number}/batch={batch_id}")
+        spark = batch.sparkSession
+        log = CommitLog(spark, f"{path}/log")
+        last = log.last()
+        if last > batch_id:
+            return
+        batches = log.read(last)["batches"] if last else []
+        if batches and batch_id % fold_every == 0:
+            before = _written(spark, path, schema, batches)
+            batch, batches = _latest(before.unionByName(batch.withColumn("batch", F.lit(batch_id))), keys), []
+        batch.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
+        log.commit(batch_id, {"batches": [*batches, batch_id]})
+        _retire(spark, path, log, batch_id, kept)
 
     return (
         frame.writeStream.foreachBatch(write)
@@ -174,10 +213,24 @@ def update_sink(frame: DataFrame, path: str, checkpoint: str, keys: list[str], f
     )
 
 
+def _retire(spark: SparkSession, path: str, log: CommitLog, batch_id: int, kept: int) -> None:
+    """Remove the records before the last ``kept``, and the folders that only they name."""
+    numbers = log.numbers()
+    old, rest = numbers[:-kept], numbers[-kept:]
+    if not old:
+        return
+    named = set(log.read(rest[0])["batches"]) | {number - 1 for number in rest}
+    for number in old:
+        log.forget(number)
+    for name in commits.names(spark, f"{path}/data"):
+        written = name.partition("=")[2]
+        if written.isdigit() and int(written) < batch_id and int(written) not in named:
+            commits.remove(spark, f"{path}/data/{name}")
+
+
 def read_updates(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
-    """The current value of every key: the row its latest micro-batch wrote, in the last generation."""
-    full = T.StructType([*schema.fields, T.StructField("generation", T.LongType())])
-    last = spark.read.schema(full).parquet(path).agg(F.max("generation")).first()[0]
-    if last is None:
-        return spark.createDataFrame([], schema)
-    return _latest(_generation(spark, path, schema, last), keys)
+    """The current value of every key: the row its latest micro-batch wrote, of those that were recorded."""
+    path = path.rstrip("/")
+    log = CommitLog(spark, f"{path}/log")
+    last = log.last()
+    return _latest(_written(spark, path, schema, log.read(last)["batches"] if last else []), keys)
