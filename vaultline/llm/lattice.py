@@ -6,9 +6,9 @@ of piece probabilities, by a forward recursion in log space. No piece reaches ov
 document's probability is the product of its words' and of the end's, exactly as if the recursion
 ran over the whole text.
 
-The pieces are those of an existing vocabulary. Its file gives merge ranks for scores; they are
-taken as log-probabilities by Zipf's law, and ``ROUNDS`` rounds of expected counts over all training
-words (forward and backward) fit them to the corpus.
+The pieces are those of an existing vocabulary. A unigram model's scores are log-probabilities and are
+taken as they are; a model of merges has ranks for scores, which are taken as log-probabilities by Zipf's law.
+From there ``ROUNDS`` rounds of expected counts over all training words (forward and backward) fit them to the corpus.
 
 Words are counted over the whole corpus. Every distinct word runs through the recursion once.
 Frequent words, a table of bounded size, go to the tasks that read texts; the rest of a
@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.common import fold, slices, texts, words_of
+from vaultline.llm.sentencepiece_tokens import BYTE, NORMAL, UNIGRAM, USER, Model
 from vaultline.sources.scratch import keep
 
 MARK = "▁"
-LONGEST_PIECE = 16
 #: Words that a counting task holds before it hands on what it has.
 MOST_HELD = 500_000
 #: At most so many frequent words, of at most so many bytes, are sent to every task.
@@ -45,29 +45,40 @@ FEW = 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def read_pieces(model_file: str) -> list[str]:
-    """The ordinary pieces in order of rank; a byte's piece is ``<0xNN>``."""
-    import sentencepiece
+def read_pieces(model_file: str) -> tuple[list[str], np.ndarray | None]:
+    """The ordinary pieces in the file's order, and a unigram model's log-probabilities of them, None for other models.
+
+    A byte's piece is ``<0xNN>``. Byte pieces and those a user defined have no probability in the file; they get
+    that of the library for what is unknown, the least score less ten.
+    """
+    with open(model_file, "rb") as file:
+        model = Model.parse(file.read())
+    own = [(piece, score, kind) for piece, score, kind in model.pieces if kind in (NORMAL, USER, BYTE)]
+    pieces = [piece for piece, _, _ in own]
+    if model.kind != UNIGRAM:
+        return pieces, None
+    least = min((score for _, score, kind in own if kind == NORMAL), default=0.0) - 10.0
+    return pieces, np.array([score if kind == NORMAL else least for _, score, kind in own])
 
-    model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-    return [
-        model.id_to_piece(i)
-        for i in range(model.get_piece_size())
-        if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
-    ]
+
+def with_end(pieces: list[str], given: np.ndarray | None) -> tuple[list[str], np.ndarray]:
+    """The pieces that a lattice has, with log-probabilities that sum to one with the end's, which comes last.
+
+    The end weighs as much as the likeliest piece. Without given ones, rank gives the weights.
+    """
+    kept = [at for at, piece in enumerate(pieces) if MARK not in piece[1:]]
+    weights = 1.0 / (np.arange(len(kept)) + 3.0) if given is None else np.exp(given[kept])
+    weights = np.append(weights, weights.max())
+    return [pieces[at] for at in kept], np.log(weights / weights.sum())
 
 
 class Lattice:
     """Pieces with log-probabilities (natural), for many words at a time."""
 
     def __init__(self, pieces: list[str], scores: np.ndarray | None = None):
-        pieces = [p for p in pieces if MARK not in p[1:]]
-        self.pieces = pieces
         if scores is None:
-            weights = 1.0 / (np.arange(len(pieces)) + 3.0)
-            # the last share is the end's
-            scores = np.log(np.append(weights, weights[0]) / (weights.sum() + weights[0]))
-        self.scores = scores
+            pieces, scores = with_end(pieces, None)
+        self.pieces, self.scores = pieces, scores
         place = {p: i for i, p in enumerate(pieces)}
         self.bytes = np.array([place.get(f"<0x{b:02X}>", -1) for b in range(256)])
         own = [(p, i) for i, p in enumerate(pieces) if not (p.startswith("<0x") and len(p) == 6)]
@@ -75,7 +86,7 @@ class Lattice:
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array([i for _, i in own])[order]
         self.single = {p for p, _ in own if len(p) == 1}
-        self.longest = min(LONGEST_PIECE, max((len(p) for p, _ in own), default=1))
+        self.longest = max((len(p) for p, _ in own), default=1)
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -278,10 +289,15 @@ def _expectation(words: DataFrame, lattice: Lattice) -> np.ndarray:
     return uses
 
 
-def fit(words: DataFrame, pieces: list[str], ends: int, rounds: int = ROUNDS) -> Lattice:
-    """The lattice after ``rounds`` of expected counts over all training words, each an update of all pieces."""
-    prior = Lattice(pieces)
-    lattice = prior
+def fit(
+    words: DataFrame, pieces: list[str], ends: int, rounds: int = ROUNDS, given: np.ndarray | None = None
+) -> Lattice:
+    """The lattice after ``rounds`` of expected counts over all training words, each an update of all pieces.
+
+    It starts from the given log-probabilities, or from ranks.
+    """
+    pieces, start = with_end(pieces, given)
+    lattice = prior = Lattice(pieces, start)
     for _ in range(rounds):
         uses = np.append(_expectation(words, lattice), ends) + PRIOR_WEIGHT * np.exp(prior.scores)
         lattice = Lattice(pieces, np.log(uses / uses.sum()))
@@ -315,11 +331,11 @@ def score(documents: DataFrame, model_file: str, held_out: int = 1, folds: int =
     rows = texts(documents, (fold(F.col("doc_id"), folds) != held_out).cast("int").alias("trained"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     counts = keep(word_counts(rows, "trained"), "words")
-    pieces = read_pieces(model_file)
+    pieces, given = read_pieces(model_file)
     sums = counts.agg(F.sum("trained"), F.sum(F.when(F.col("trained") > 0, 1))).first()
     ends = rows.where("trained = 1").count()
     total, distinct = (sums[0] or 0) + ends, (sums[1] or 0) + (1 if ends else 0)
-    lattice = fit(counts, pieces, ends)
+    lattice = fit(counts, pieces, ends, given=given)
 
     def words_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
