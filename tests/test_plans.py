@@ -1,10 +1,13 @@
 """Marts, queries and reads on a small bank whose answers are known."""
 
+import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from vaultline.plans import analytics, marts, reads
+from vaultline.plans.analytics import down, up
 from vaultline.plans.bank import Bank
 from tests.helpers import VALID, curated_frame
 
@@ -151,3 +154,28 @@ def test_views_and_stored_marts(spark, bank, tmp_path):
     assert spark.sql("SELECT count(*) FROM customer_360 JOIN accounts USING (customer_id)").first()[0] == 3
     marts.build_mart(bank, "monthly_branch_summary", str(tmp_path / "m2"))
     assert spark.read.parquet(str(tmp_path / "m2")).count() == 3
+
+
+@pytest.mark.parametrize("directions", [(up, up), (down, up)])
+def test_deep_pages_equal_pages_by_sorting(spark, monkeypatch, directions):
+    monkeypatch.setattr(reads, "DEEP", 20)
+    monkeypatch.setattr(reads, "CUTS", 8)
+    rows = [(i % 7 if i % 3 else 3, i * 37 % 2003) for i in range(2000)]  # a third of all rows share a first value
+    frame = spark.createDataFrame(rows, "a int, b long").repartition(4)
+    order = dict(zip(("a", "b"), directions))
+    want = sorted(rows, key=lambda r: (r[0] * (1 if directions[0] is up else -1), r[1] * (1 if directions[1] is up else -1)))
+    for offset in (300, 1501, 2500):
+        start, skipped = reads._start_of(frame, order, offset)
+        assert offset > 2000 or 0 <= offset - skipped <= 20
+        got = [tuple(r) for r in reads.page(frame, order, 10, offset).collect()]
+        assert got == want[offset : offset + 10]
+
+
+def test_a_deep_page_keeps_few_rows_a_task(spark):
+    frame = spark.range(3_000_000).select((F.col("id") * 7919 % 3_000_000).alias("id"), F.lit("x").alias("v"))
+    page = reads.page(frame, {"id": up}, 5, 1_000_000)
+    assert [r["id"] for r in page.collect()] == list(range(1_000_000, 1_000_005))
+    keyed = reads.page(frame, {"id": up}, 5, after=(999_999,))
+    assert page.collect() == keyed.collect()
+    kept = [int(n) for n in re.findall(r"(?:limit=|Limit )(\d+)", page._jdf.queryExecution().executedPlan().toString())]
+    assert kept and max(kept) <= reads.DEEP + 5

@@ -652,6 +652,8 @@ def _reads() -> dict[str, str]:
             ORDER BY account_id LIMIT 100 OFFSET 10""",
         "o4_list_transactions": f"""SELECT {_as_doubles('transactions')} FROM transactions
             ORDER BY txn_date DESC, transaction_id DESC LIMIT 200 OFFSET 50""",
+        "o4_list_transactions_deep": f"""SELECT {_as_doubles('transactions')} FROM transactions
+            ORDER BY txn_date DESC, transaction_id DESC LIMIT 200 OFFSET {registry.DEEP_OFFSET}""",
         "o5_list_loans": f"""SELECT {_as_doubles('loans')} FROM loans WHERE lower(status) = 'active' ORDER BY loan_id LIMIT 50""",
         "o6_list_cards": f"""SELECT {_as_doubles('cards')} FROM cards WHERE lower(card_type) = 'credit - gold'
             ORDER BY card_id LIMIT 150""",

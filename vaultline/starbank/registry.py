@@ -35,6 +35,7 @@ HIGH_VALUE = 200.0
 VELOCITY_EVENTS = 2
 DETAIL_CUSTOMER = 7
 LIST_CITY = "nation_3"
+DEEP_OFFSET = 20_000
 
 
 class StarBank:
@@ -582,6 +583,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found["o7_list_customer_360_by_key"] = _next_page(
         reads.list_customer_360, ("total_deposit_balance", "customer_id"), 10, segment="low RISK", limit=50
     )
+    found["o4_list_transactions_deep"] = _on_bank(reads.list_transactions, limit=200, offset=DEEP_OFFSET)
     found["o8_dashboard_kpis"] = _on_bank(reads.dashboard_kpis)
     found["o9_segment_counts"] = _on_bank(reads.segment_counts)
 
