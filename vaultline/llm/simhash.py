@@ -159,4 +159,5 @@ def first_of_groups(documents: DataFrame) -> DataFrame:
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("print "), F.col("fingerprint").cast("string")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", place))
     chosen = found.groupBy(group.alias("grp")).agg(first.alias("first")).select(F.col(f"first.{place}").alias(place))
-    return placed.join(chosen, place, "left_semi").drop(place)
+    # the places are small and unique: they are hashed, and the documents pass by unsorted
+    return placed.join(chosen.hint("shuffle_hash"), place, "left_semi").drop(place)
