@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.llm.common import join_spread
+from vaultline.sources.scratch import keep
+
 #: Hex digits of a digest that are joined on.
 SHORT = 8
 #: A rule list of at most this many rows, each cut off at ``LONGEST`` characters, is broadcast.
@@ -58,7 +61,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     rules = rules.select("host", "path", "verdict").distinct()
     labels, lengths, many, longest = _sizes(rules)
     parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    distinct = parsed.select("host", "path").distinct()
+    counted = keep(parsed.groupBy("host", "path").agg(F.count("*").alias("n")), "urls")
+    distinct = counted.select("host", "path")
 
     parts = F.split("host", "[.]")
     suffixes = F.filter(
@@ -86,7 +90,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         order = F.struct(-F.length("rule"), (F.col("verdict") != "block").cast("int"), "rule", "verdict")
         best = hits.groupBy("host", "path").agg(F.min(order).alias("best"))
         found = best.select("host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("ruled"))
-        judged = parsed.join(found, ["host", "path"], "left")
+        # a row for each host and path, ruled or not: those of very many pages are broadcast, as that of pages without a host
+        each = keep(counted.join(found, ["host", "path"], "left"), "judged")
+        judged = join_spread(parsed, each, ["host", "path"], "n", counted.agg(F.sum("n")).first()[0] or 0)
     else:
         judged = parsed.withColumn("rule", F.lit(None).cast("string")).withColumn("ruled", F.lit(None).cast("string"))
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit(default)).alias("verdict"))
