@@ -17,6 +17,7 @@ document's words meets the word table in a join on the word.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -33,7 +34,7 @@ from vaultline.sources.scratch import keep
 MARK = "▁"
 #: Words that a counting task holds before it hands on what it has.
 MOST_HELD = 500_000
-#: At most so many frequent words, of at most so many bytes, are sent to every task.
+#: At most so many frequent words are sent to every task, longer ones than so many bytes by a digest.
 FREQUENT_WORDS = 200_000
 LONGEST_FREQUENT = 48
 #: The weight of the vocabulary's own scores against the corpus, in pieces.
@@ -304,12 +305,17 @@ def fit(
     return lattice
 
 
+def _key(word: bytes) -> bytes:
+    """What stands for a long word: a byte that begins no word, and its MD5."""
+    return b"\xff" + hashlib.md5(word).digest()
+
+
 def _frequent_from(words: DataFrame, most: int) -> int:
     """The smallest count from which on there are at most ``most`` words."""
-    sizes = words.where(F.length("word") <= LONGEST_FREQUENT).groupBy((F.col("trained") + F.col("others")).alias("n")).count()
+    sizes = words.groupBy((F.col("trained") + F.col("others")).alias("n")).count()
     total = 0
-    # the ``most`` largest counts at most come here, one row for each
-    for row in sizes.orderBy(F.desc("n")).limit(most).collect():
+    # the ``most`` largest counts and one more at most come here, one row for each
+    for row in sizes.orderBy(F.desc("n")).limit(most + 1).collect():
         total += row["count"]
         if total > most:
             return row.n + 1
@@ -353,9 +359,11 @@ def score(documents: DataFrame, model_file: str, held_out: int = 1, folds: int =
         "scored",
     )
     least = _frequent_from(scored, FREQUENT_WORDS)
-    often = (F.col("trained") + F.col("others") >= least) & (F.length("word") <= LONGEST_FREQUENT)
+    often = F.col("trained") + F.col("others") >= least
     below = np.log10(total + 0.5 * (distinct + 1))
-    table = scored.where(often).select("word", "trained", "logp").toArrow()  # FREQUENT_WORDS at most
+    digest = F.concat(F.unhex(F.lit("FF")), F.unhex(F.md5("word")))
+    key = F.when(F.length("word") <= LONGEST_FREQUENT, F.col("word")).otherwise(digest)
+    table = scored.where(often).select(key, "trained", "logp").toArrow()  # FREQUENT_WORDS at most
     sent = documents.sparkSession.sparkContext.broadcast(
         (table.column(0).to_pylist(), table.column(1).to_numpy(), table.column(2).to_numpy())
     )
@@ -373,7 +381,9 @@ def score(documents: DataFrame, model_file: str, held_out: int = 1, folds: int =
             for text in held:
                 tokens = words_of(text)
                 none = len(words)
-                at = np.fromiter((place.get(x, none) for x in tokens), dtype=np.int64, count=len(tokens))
+                at = np.fromiter(
+                    (place.get(x if len(x) <= LONGEST_FREQUENT else _key(x), none) for x in tokens), dtype=np.int64, count=len(tokens)
+                )
                 rest = Counter(tokens[i] for i in np.flatnonzero(at == none))
                 out.append(
                     (
