@@ -185,7 +185,8 @@ def update_sink(
     """Changed result rows of each micro-batch to a folder of its own, and a record of which folders count.
 
     A record is written when its micro-batch is, so a reader never meets half of one; a micro-batch that runs again
-    after its record is skipped, one without a record replaces its folder. Every ``fold_every``-th writes the current value of all keys, and its
+    after its record is skipped, one without a record replaces its folder. A path belongs to one checkpoint: from another one, whose
+    micro-batches would be numbered anew, the query fails. Every ``fold_every``-th writes the current value of all keys, and its
     record names that folder alone. Folders that none of the last ``kept`` records names are removed.
     """
     schema, path = frame.schema, path.rstrip("/")
@@ -194,14 +195,17 @@ def update_sink(
         spark = batch.sparkSession
         log = CommitLog(spark, f"{path}/log")
         last = log.last()
+        record = log.read(last) if last else {"batches": [], "checkpoint": checkpoint}
+        if record["checkpoint"] != checkpoint:
+            raise ValueError(f"{path} holds results of the checkpoint {record['checkpoint']}")
         if last > batch_id:
             return
-        batches = log.read(last)["batches"] if last else []
+        batches = record["batches"]
         if batches and batch_id % fold_every == 0:
             before = _written(spark, path, schema, batches)
             batch, batches = _latest(before.unionByName(batch.withColumn("batch", F.lit(batch_id))), keys), []
         batch.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
-        log.commit(batch_id, {"batches": [*batches, batch_id]})
+        log.commit(batch_id, {"batches": [*batches, batch_id], "checkpoint": checkpoint})
         _retire(spark, path, log, batch_id, kept)
 
     return (
