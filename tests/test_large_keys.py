@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from vaultline.operators import audit
 from vaultline.operators import keys as K
 from vaultline.sources.scratch import keep
 
@@ -22,3 +23,13 @@ def test_a_parent_beyond_the_bound_is_not_broadcast(spark, setting, monkeypatch)
     assert "BroadcastHashJoin" not in plans[1][1]
     assert {r["id"]: r["orphan"] for r in marked.collect()} == {i: fk is None or fk % 2 == 1 for i, fk in rows}
     assert "ShuffledHashJoin" in plan_of(marked)  # the members of frequent values may be broadcast, all others not
+
+
+def test_the_audit_of_foreign_keys_broadcasts_no_parent(spark):
+    tables = {
+        "branches": spark.range(3).withColumnRenamed("id", "branch_id"),
+        "employees": spark.createDataFrame([(1, 2), (2, 9), (3, None)], "employee_id long, branch_id long"),
+    }
+    found = audit.fk_audit(tables)
+    assert "BroadcastHashJoin" not in plan_of(found)
+    assert [(r["table_name"], r["orphan_count"]) for r in found.collect()] == [("employees", 1)]
