@@ -1,10 +1,12 @@
-"""Keys beyond the bound are never broadcast by the size of their files."""
+"""Keys beyond the bound are never broadcast by the size of their files; rows are judged on all cores, compiled."""
 
 from pyspark.sql import functions as F
 
-from vaultline.operators import audit
+from vaultline.operators import audit, curation
 from vaultline.operators import keys as K
 from vaultline.sources.scratch import keep
+from vaultline.starbank.raw import RAW_SQL, base_table, raw_table
+from tests.helpers import judge, valid_row
 
 
 def plan_of(frame) -> str:
@@ -33,3 +35,22 @@ def test_the_audit_of_foreign_keys_broadcasts_no_parent(spark):
     found = audit.fk_audit(tables)
     assert "BroadcastHashJoin" not in plan_of(found)
     assert [(r["table_name"], r["orphan_count"]) for r in found.collect()] == [("employees", 1)]
+
+
+def test_one_file_of_many_rows_is_judged_on_all_cores(spark, tmp_path):
+    rows = [(i, f"Supplier#{i}", i % 25, float(i)) for i in range(500)]
+    suppliers = spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+    suppliers.coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    raw = raw_table(spark, str(tmp_path), "employees")
+    assert raw.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    plain = spark.sql(RAW_SQL["employees"], supplier=base_table(spark, str(tmp_path), "supplier"))
+    assert sorted(map(str, raw.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_a_session_at_the_default_limit_compiles_wide_rows(spark, setting):
+    setting(curation.HUGE_METHODS, "65535")
+    judge(spark, "branches", [valid_row("branches")])
+    assert spark.conf.get(curation.HUGE_METHODS) == "8000"
+    setting(curation.HUGE_METHODS, "4000")
+    judge(spark, "branches", [valid_row("branches")])
+    assert spark.conf.get(curation.HUGE_METHODS) == "4000"
