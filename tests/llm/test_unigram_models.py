@@ -57,6 +57,13 @@ def test_whole_texts_are_compared_too(monkeypatch):
     assert codec.agrees("a text", ids) and not codec.agrees("a text", ids[:-4])
 
 
+def test_every_text_is_compared_whole():
+    codec = sentencepiece_tokens.Codec(PIECES)
+    real, codec.normal = codec.normal, lambda text: real(text.replace("K", "k"))
+    texts = [f"Kind {n} words" for n in range(200)] + ["kind words"]
+    assert [codec.agrees(text, x) for text, x in zip(texts, codec.encode(texts))] == [False] * 200 + [True]
+
+
 def test_scores_of_the_file_weigh_segmentations(tmp_path):
     pieces, given = lattice.read_pieces(unigram_file(tmp_path / "m.model", OWN))
     assert dict(zip(pieces, given))["ba"] == -4.5 and dict(zip(pieces, given))["<0x41>"] == -15.0

@@ -4,9 +4,8 @@ The model file is a protocol buffer; its pieces, scores and normaliser settings
 the wire format and rebuilt as a tokenizers model: unigram scores, or for a model of merges
 the merges that its scores order, with byte fallback. The white-space marker is put in before
 texts are cut into units, each distinct unit of a task is encoded once, in batches on several
-threads. Parity is verified at both ends: new units are compared with the sentencepiece library's own ids as they
-are learned (ordinary words many at a time, and one by one where these differ), and of the texts one in ``SHARE`` as a whole,
-by a hash of the text, which would show a wrong normaliser or cut.
+threads. Parity is verified on every text as a whole: the sentencepiece library encodes it too, which shows a wrong
+piece as well as a wrong normaliser or cut.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -27,11 +25,8 @@ from vaultline.llm.common import slices, texts
 from vaultline.llm.units import LONGEST_UNIT, MOST_UNITS, Encoder
 
 MARK = "▁"
-#: Of so many texts one is encoded whole by the library too.
-SHARE = 64
-#: A model file with this behind it adds no prefix and keeps all blanks: a message given twice is merged, and in the
-#: normaliser's settings (field 3) these are fields 3 and 4.
-_BARE = bytes([0x1A, 4, 0x18, 0, 0x20, 0])
+#: Of so many texts one is encoded whole by the library too: each of them.
+SHARE = 1
 #: Fixed values of the file format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
@@ -188,7 +183,7 @@ class Model:
 
 
 class Codec:
-    """Encode and decode lists of texts; ``differing`` holds units whose ids differ from the library's."""
+    """Encode and decode lists of texts, and compare with the library."""
 
     def __init__(self, model_file: str, threads: int = 2):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
@@ -198,10 +193,8 @@ class Codec:
         with open(model_file, "rb") as file:
             data = file.read()
         self.model = Model.parse(data)
-        self.bare = sentencepiece.SentencePieceProcessor(model_proto=data + _BARE)
         self.normal, self.backend = self.model.normaliser(), self.model.backend()
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        self.threads, self.differing = threads, set()
         self.starts = np.array([piece.startswith(MARK) for piece, _, _ in self.model.pieces])
         self.encoder = Encoder(self._ids, self.model.units, self.model.cut, MARK, self.starts & self.model.separable)
         self.said: dict[bytes, str] = {}
@@ -211,35 +204,15 @@ class Codec:
         ]
 
     def _ids(self, units: list[str]) -> list[list[int]]:
-        found = [x.ids for x in self.backend.encode_batch_fast(units, add_special_tokens=False)]
-        said = [unit.replace(MARK, " ") for unit in units]
-        for unit, ids, own in zip(units, found, self.bare.encode(said, num_threads=self.threads)):
-            if ids != own:
-                self._find_differing(unit)
-        return found
-
-    def _find_differing(self, text: str) -> None:
-        """Which of the units that were encoded together differ; all of them if none does by itself."""
-        parts = [x for unit in self.model.units(text) for x in (unit, *self.model.cut(unit))]
-        own = self.bare.encode([part.replace(MARK, " ") for part in parts])
-        ids = [x.ids for x in self.backend.encode_batch_fast(parts, add_special_tokens=False)]
-        apart = {part for part, a, b in zip(parts, ids, own) if a != b}
-        self.differing |= apart or {text, *parts}
+        return [x.ids for x in self.backend.encode_batch_fast(units, add_special_tokens=False)]
 
     def encode(self, held: list[str]) -> list[bytes]:
         """Each text's ids, as little-endian unsigned 32-bit bytes."""
         return self.encoder.encode([self.normal(text) for text in held])
 
     def agrees(self, text: str, ids: bytes) -> bool:
-        """Whether the library gives the same ids for every unit of a text that was encoded here, and, in the share
-        of texts that are compared whole, for the text."""
-        data = text.encode()
-        if zlib.crc32(data) % SHARE == 0 and np.frombuffer(ids, dtype="<u4").tolist() != self.library.encode(text):
-            return False
-        if not self.differing:
-            return True
-        units = self.model.units(self.normal(text))
-        return self.differing.isdisjoint(part for unit in units for part in (unit, *self.model.cut(unit)))
+        """Whether the library gives the same ids for the whole text."""
+        return np.frombuffer(ids, dtype="<u4").tolist() == self.library.encode(text)
 
     def decode(self, held: list[bytes]) -> list[str]:
         """The texts of ids; the prefix is taken off again.
