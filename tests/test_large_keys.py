@@ -1,12 +1,15 @@
 """Keys beyond the bound are never broadcast by the size of their files; rows are judged on all cores, compiled."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from vaultline.operators import audit, curation
 from vaultline.operators import keys as K
 from vaultline.sources.scratch import keep
 from vaultline.starbank.raw import RAW_SQL, base_table, raw_table
-from tests.helpers import judge, valid_row
+from vaultline.operators.tables import TABLES
+from tests.helpers import judge, parents_of, raw_frame, valid_row
 
 
 def plan_of(frame) -> str:
@@ -54,3 +57,14 @@ def test_a_session_at_the_default_limit_compiles_wide_rows(spark, setting):
     setting(curation.HUGE_METHODS, "4000")
     judge(spark, "branches", [valid_row("branches")])
     assert spark.conf.get(curation.HUGE_METHODS) == "4000"
+
+
+def test_readings_and_verdicts_take_a_projection_each(spark):
+    ids = ["1", "1", "T1", "T1", None, "2", "3"]
+    raw = raw_frame(spark, "transactions", [valid_row("transactions", transaction_id=i) for i in ids])
+    judged = curation.judged(raw, TABLES["transactions"], parents_of(spark, "transactions"))
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"^[ :+-]*Project ", plan, re.M)) <= 9  # two of them of the three sets of keys that rows meet
+    assert [r["is_bad"] for r in judged.orderBy(K.ROW_ID).collect()] == [True, True, True, True, True, False, False]
+    parsed = curation.parsed(raw, TABLES["transactions"])._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"^[ :+-]*Project ", parsed, re.M)) <= 2
