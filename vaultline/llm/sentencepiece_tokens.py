@@ -3,19 +3,21 @@
 The model file is a protocol buffer; its pieces, scores and normaliser settings are read from
 the wire format and rebuilt as a tokenizers model: unigram scores, or for a model of merges
 the merges that its scores order, with byte fallback. The white-space marker is put in before
-texts are cut into units, each distinct unit of a task is encoded once, in batches on several
+texts are cut into units, each distinct unit that a process remembers is encoded once, in batches on several
 threads. Parity is verified on every text as a whole: the sentencepiece library encodes it too, which shows a wrong
 piece as well as a wrong normaliser or cut.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cached_property, lru_cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ from vaultline.llm.units import LONGEST_UNIT, MOST_UNITS, Encoder
 MARK = "▁"
 #: Of so many texts one is encoded whole by the library too: each of them.
 SHARE = 1
+#: Texts that the library encodes in one call.
+TOGETHER = 256
 #: Fixed values of the file format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
@@ -160,25 +164,22 @@ class Model:
         """Whether line breaks stand in no piece."""
         return not any("\n" in piece for piece, _, kind in self.pieces if kind in (NORMAL, USER))
 
-    def units(self, text: str) -> list[str]:
-        """A normalised text cut before runs of the marker, and before line breaks."""
+    def apart(self, text: str, border: str) -> str:
+        """A normalised text with a border before runs of the marker, and before line breaks."""
         if not self.separable:
-            return [text]
+            return text
         if MARK * 2 in text:
-            parts = re.split(f"(?<=[^{MARK}])(?={MARK})", text)
+            text = re.sub(f"(?<=[^{MARK}])(?={MARK})", border, text)
         else:
-            first, *rest = text.split(MARK)
-            parts = [first] * bool(first) + [MARK + part for part in rest]
-        if self.lines and "\n" in text:
-            return [x for part in parts for x in (re.split("(?=\n)", part) if "\n" in part else (part,)) if x]
-        return parts
+            text = text.replace(MARK, border + MARK)
+        return text.replace("\n", border + "\n") if self.lines else text
 
     def cut(self, unit: str) -> list[str]:
         """A unit cut wherever two characters stand together in no piece."""
         joined = self.joined
-        places = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in joined]
-        if not places or len(unit) > LONGEST_UNIT:
+        if len(unit) > LONGEST_UNIT or joined.issuperset(map(add, unit, unit[1:])):
             return [unit]
+        places = [i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in joined]
         return [unit[a:b] for a, b in zip([0, *places], [*places, len(unit)])]
 
 
@@ -196,7 +197,7 @@ class Codec:
         self.normal, self.backend = self.model.normaliser(), self.model.backend()
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file)
         self.starts = np.array([piece.startswith(MARK) for piece, _, _ in self.model.pieces])
-        self.encoder = Encoder(self._ids, self.model.units, self.model.cut, MARK, self.starts & self.model.separable)
+        self.encoder = Encoder(self._ids, self.model.apart, self.model.cut, MARK, self.starts & self.model.separable)
         self.said: dict[bytes, str] = {}
         self.bytes_of = [
             bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(MARK, " ").encode() if kind in (NORMAL, USER) else None
@@ -212,7 +213,15 @@ class Codec:
 
     def agrees(self, text: str, ids: bytes) -> bool:
         """Whether the library gives the same ids for the whole text."""
-        return np.frombuffer(ids, dtype="<u4").tolist() == self.library.encode(text)
+        return self.all_agree([text], [ids])[0]
+
+    def all_agree(self, held: list[str], ids: list[bytes]) -> list[bool]:
+        """The same of each text; the library takes some hundred at a time."""
+        out = []
+        for at in range(0, len(held), TOGETHER):
+            said = self.library.encode(held[at : at + TOGETHER], num_threads=1)
+            out += [np.frombuffer(x, dtype="<u4").tolist() == y for x, y in zip(ids[at : at + TOGETHER], said)]
+        return out
 
     def decode(self, held: list[bytes]) -> list[str]:
         """The texts of ids; the prefix is taken off again.
@@ -248,6 +257,17 @@ class Codec:
         return [text[1:] if self.model.prefix and text.startswith(" ") else text for text in out]
 
 
+@lru_cache(maxsize=1)
+def _codec_of(model_file: str, written: int, size: int, threads: int) -> Codec:
+    return Codec(model_file, threads)
+
+
+def codec_of(model_file: str, threads: int) -> Codec:
+    """A process's codec for a file as it is now: later tasks go on with the units that earlier ones have met."""
+    state = os.stat(model_file)
+    return _codec_of(model_file, state.st_mtime_ns, state.st_size, threads)
+
+
 _TOKENS = "doc_id long, n_tokens long, ids binary, round_trip boolean, agrees boolean"
 
 
@@ -260,13 +280,17 @@ def encode(documents: DataFrame, model_file: str, threads: int = 2) -> DataFrame
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model_file, threads)
+        codec = codec_of(model_file, threads)
         for batch, held in slices(batches):
-            plain = [text.decode() for text in held]
-            ids = codec.encode(plain)
-            back = codec.decode(ids)
-            same = [a == b or codec.normal(a) == codec.normal(b) for a, b in zip(plain, back)]
-            agrees = [codec.agrees(text, x) for text, x in zip(plain, ids)]
+            gc.disable()  # a run makes a million texts and lists, and no cycles to look for
+            try:
+                plain = [text.decode() for text in held]
+                ids = codec.encode(plain)
+                back = codec.decode(ids)
+                same = [a == b or codec.normal(a) == codec.normal(b) for a, b in zip(plain, back)]
+                agrees = codec.all_agree(plain, ids)
+            finally:
+                gc.enable()
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -285,7 +309,7 @@ def decode(tokens: DataFrame, model_file: str, threads: int = 2) -> DataFrame:
     """``doc_id`` and ``text`` from rows of ``doc_id`` and ``ids``; null ids are an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model_file, threads)
+        codec = codec_of(model_file, threads)
         for batch, held in slices(batches, "ids"):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codec.decode(held), pa.string())], ["doc_id", "text"])
 
