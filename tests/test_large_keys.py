@@ -70,3 +70,50 @@ def test_readings_and_verdicts_take_a_projection_each(spark, setting):
     shuffled = curation.judged(raw, TABLES["transactions"], parents_of(spark, "transactions"))
     assert set(shuffled.columns) == set(judged.columns)
     assert [r["is_bad"] for r in shuffled.orderBy(K.ROW_ID).collect()] == [True, True, True, True, True, False, False]
+
+
+def test_a_large_parent_of_close_keys_is_packed_and_rows_stay(spark, setting):
+    setting(K.MAX_BROADCAST_KEYS_SETTING, "2000")
+    parent = K.KeySet(keep(spark.range(-30_000, 30_000, 2).withColumnRenamed("id", "key"), "parent"), 30_000)
+    keys = [None, -30_001, -30_000, -65, -64, -63, -2, -1, 0, 1, 63, 64, 126, 127, 29_998, 29_999, 30_000, 2**63 - 1, -(2**63)]
+    child = spark.createDataFrame(list(enumerate(keys)), "id long, fk long").withColumn(K.ROW_ID, F.monotonically_increasing_id())
+    assert not parent.fits() and parent.stays()
+    marked = K.mark_orphans(child, "fk", parent, "orphan")
+    plan = plan_of(marked)
+    assert "BroadcastHashJoin" in plan and "ShuffledHashJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert marked.columns == ["id", "fk", K.ROW_ID, "orphan"]
+    known = {fk for fk in keys if fk is not None and -30_000 <= fk < 30_000 and fk % 2 == 0}
+    assert {r["id"]: r["orphan"] for r in marked.collect()} == {i: fk not in known for i, fk in enumerate(keys)}
+
+
+def test_a_large_parent_of_distant_keys_is_not_packed(spark, setting):
+    setting(K.MAX_BROADCAST_KEYS_SETTING, "2000")
+    parent = K.KeySet(keep(spark.range(12_000).select((F.col("id") * 1000).alias("key")), "parent"), 12_000)
+    child = spark.createDataFrame([(1, 5000), (2, 5001), (3, None)], "id long, fk long").withColumn(K.ROW_ID, F.lit(0))
+    assert not parent.stays()
+    assert {r["id"] for r in K.mark_orphans(child, "fk", parent, "orphan").where("orphan").collect()} == {2, 3}
+
+
+def test_splits_without_rows_do_not_count_as_spread(spark, setting, tmp_path):
+    """A file of one row group is planned in many splits, of which one holds all rows."""
+    rows = spark.range(200_000).select(
+        F.col("id").alias("s_suppkey"), F.concat(F.lit("Supplier#"), F.col("id")).alias("s_name"),
+        (F.col("id") % 25).cast("int").alias("s_nationkey"), F.rand(1).alias("s_acctbal"),
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    setting("spark.sql.files.maxPartitionBytes", "100k")
+    setting("spark.sql.files.openCostInBytes", "1k")
+    table = base_table(spark, str(tmp_path), "supplier")
+    cores = spark.sparkContext.defaultParallelism
+    assert table.rdd.getNumPartitions() >= cores
+    dealt = raw_table(spark, str(tmp_path), "employees").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    sizes = [r["n"] for r in dealt.collect()]
+    assert sum(sizes) == 200_000 and len(sizes) >= cores and max(sizes) < 2 * 200_000 / cores
+
+
+def test_lookups_are_compiled_apart_from_verdicts(spark):
+    raw = raw_frame(spark, "transactions", [valid_row("transactions", transaction_id=i) for i in ("1", "1", "T", "T")])
+    judged = curation.judged(raw, TABLES["transactions"], parents_of(spark, "transactions"))
+    lines = [line for line in plan_of(judged).split("\n") if "Project" in line or "BroadcastHashJoin" in line]
+    lookups = [i for i, line in enumerate(lines) if "BroadcastHashJoin" in line]
+    assert any("exists(" in line and "*" not in line.split("Project")[0] for line in lines[: lookups[0]])
