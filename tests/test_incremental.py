@@ -8,6 +8,7 @@ from vaultline.sources.buckets import Overtaken
 from vaultline.sources.commits import CommitLog
 from vaultline.sources.incremental import IncrementalStore
 from vaultline.sources.store import Store, curate_all
+from vaultline.starbank import registry
 from tests.helpers import raw_frame, valid_row
 
 NAMES = ("branches", "customers", "accounts", "cards")
@@ -109,3 +110,30 @@ def test_a_batch_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
     store.expire(kept=1)
     assert len(list(folder.iterdir())) == 1 and store.quarantine("branches").count() == 2
     assert set(TABLES) > set(store.store.record()["stored"])
+
+
+class Counted:
+    """A store that keeps what it is given, all of it good."""
+
+    def __init__(self, *_, **__):
+        self.batches = []
+
+    def apply(self, number, raw):
+        self.batches.append({name: frame.collect() for name, frame in raw.items()})
+        self.raw = raw
+
+    def curated(self, name):
+        rows = [row for batch in self.batches for row in batch[name]]
+        return self.raw[name].sparkSession.createDataFrame(rows, self.raw[name].schema)
+
+    def quarantine(self, name):
+        return self.raw[name].limit(0).selectExpr("'' AS rejection_reason", "'' AS validation_stage")
+
+
+def test_raw_rows_are_dealt_into_batches_once(spark, tmp_path, monkeypatch):
+    read, raw = [], {name: raw_frame(spark, name, [valid_row(name, **{TABLES[name].key: str(i)}) for i in range(20)]) for name in TABLES}
+    monkeypatch.setattr(registry, "IncrementalStore", Counted)
+    monkeypatch.setattr(registry, "raw_table", lambda _, folder, name: read.append(name) or raw[name])
+    found = registry.three_batches(spark, str(tmp_path)).collect()
+    assert sorted(read) == sorted(TABLES)
+    assert {r["table_name"]: r["n"] for r in found} == dict.fromkeys(TABLES, 20)
